@@ -1,0 +1,5 @@
+"""Empty on purpose: every source of this engine is read as a batch.
+
+The event feed (`fraud_alert_events`) arrives as JSON-lines files, so no
+watermark, window or state operator is part of the supported surface.
+"""
