@@ -2,6 +2,7 @@
 
 from oreflow.functions.numbers import guarded_ratio, round_half_away, to_double
 from oreflow.functions.rowhash import row_hash
+from oreflow.functions.sums import stable_avg, stable_sum
 from oreflow.functions.text import fold_case, is_blank, null_if_na, strip
 from oreflow.functions.times import to_ntz
 
@@ -12,6 +13,8 @@ __all__ = [
     "null_if_na",
     "round_half_away",
     "row_hash",
+    "stable_avg",
+    "stable_sum",
     "strip",
     "to_double",
     "to_ntz",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions import round_half_away
+from oreflow.functions import round_half_away, stable_avg, stable_sum
 
 
 def _count() -> Column:
@@ -40,8 +40,8 @@ def account_totals(accounts: DataFrame, *, unique_accounts: bool = False) -> Dat
         _count_keys("account_id", unique_accounts).alias("account_count"),
         F.countDistinct("product_id").alias("product_count"),
         _sum_if(F.col("account_status") == "active").alias("active_account_count"),
-        F.sum("current_balance").alias("total_current_balance"),
-        F.avg("current_balance").alias("average_current_balance"),
+        stable_sum(F.col("current_balance")).alias("total_current_balance"),
+        stable_avg(F.col("current_balance")).alias("average_current_balance"),
     )
 
 
@@ -49,8 +49,8 @@ def transaction_totals(transactions: DataFrame) -> DataFrame:
     """Transactions per customer."""
     return transactions.groupBy("customer_id").agg(
         _count().alias("transaction_count"),
-        F.sum("amount").alias("total_transaction_amount"),
-        F.avg("amount").alias("average_transaction_amount"),
+        stable_sum(F.col("amount")).alias("total_transaction_amount"),
+        stable_avg(F.col("amount")).alias("average_transaction_amount"),
         F.max("transaction_timestamp").alias("most_recent_transaction_at"),
         _sum_if(F.col("is_international")).alias("international_transaction_count"),
         F.countDistinct("channel").alias("channel_count"),
@@ -61,7 +61,7 @@ def fraud_totals(alerts: DataFrame) -> DataFrame:
     """Fraud alerts per customer; alerts without a customer form a group."""
     return alerts.groupBy("customer_id").agg(
         _count().alias("fraud_alert_count"),
-        F.avg("risk_score").alias("average_fraud_risk_score"),
+        stable_avg(F.col("risk_score")).alias("average_fraud_risk_score"),
         F.max("risk_score").alias("maximum_fraud_risk_score"),
         _sum_if(F.col("recommended_action") == "review").alias("fraud_review_count"),
     )
@@ -144,8 +144,8 @@ def daily_transaction_summary(transactions: DataFrame) -> DataFrame:
         "merchant_category",
     ).agg(
         _count().alias("transaction_count"),
-        round_half_away(F.sum("amount"), 2).alias("total_transaction_amount"),
-        round_half_away(F.avg("amount"), 2).alias("average_transaction_amount"),
+        round_half_away(stable_sum(F.col("amount")), 2).alias("total_transaction_amount"),
+        round_half_away(stable_avg(F.col("amount")), 2).alias("average_transaction_amount"),
         round_half_away(F.max("amount"), 2).alias("maximum_transaction_amount"),
         _sum_if(F.col("is_international")).alias("international_transaction_count"),
     )
@@ -155,8 +155,8 @@ def account_transactions(transactions: DataFrame) -> DataFrame:
     """Transactions per account."""
     return transactions.groupBy("account_id").agg(
         _count().alias("transaction_count"),
-        F.sum("amount").alias("total_transaction_amount"),
-        F.avg("amount").alias("average_transaction_amount"),
+        stable_sum(F.col("amount")).alias("total_transaction_amount"),
+        stable_avg(F.col("amount")).alias("average_transaction_amount"),
     )
 
 
@@ -182,11 +182,11 @@ def product_performance(
         .agg(
             _count_keys("account_id", unique_accounts).alias("account_count"),
             F.countDistinct("customer_id").alias("customer_count"),
-            F.sum("current_balance").alias("total_current_balance"),
-            F.avg("current_balance").alias("average_current_balance"),
+            stable_sum(F.col("current_balance")).alias("total_current_balance"),
+            stable_avg(F.col("current_balance")).alias("average_current_balance"),
             F.sum("transaction_count").alias("transaction_count"),
-            F.sum("total_transaction_amount").alias("total_transaction_amount"),
-            F.avg("average_transaction_amount").alias("average_transaction_amount"),
+            stable_sum(F.col("total_transaction_amount")).alias("total_transaction_amount"),
+            stable_avg(F.col("average_transaction_amount")).alias("average_transaction_amount"),
         )
     )
     copies = F.col("product_copies")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from oreflow.functions import round_half_away
+from oreflow.functions import round_half_away, stable_avg
 from oreflow.sources.outputs import LAYERS, load_output
 
 COUNT_SCHEMA = StructType(
@@ -135,7 +135,7 @@ def segment_summary(customer_360: DataFrame) -> DataFrame:
         .agg(
             F.count("customer_id").alias("customers"),
             F.avg("transaction_count").alias("avg_transactions"),
-            F.avg("total_current_balance").alias("avg_balance"),
+            stable_avg(F.col("total_current_balance")).alias("avg_balance"),
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from oreflow.session import staged
@@ -39,8 +39,9 @@ def mark_repeated(
 ) -> DataFrame:
     """Append a boolean column: does this row's key occur in another row as well?
 
-    Runs one job over the key column to stage the repeated keys, then picks
-    the join by their measured size:
+    Runs one job over the key column to stage the repeated keys and measure
+    them while they are written (in the job's last stage, where a repeated
+    task is counted once), then picks the join by their size:
 
     * none: no join;
     * small: broadcast, the wide rows stay where they are;
@@ -49,23 +50,30 @@ def mark_repeated(
       by the broadcast carry no join key and are spread by task number, so
       that no reducer receives a heavy group.
     """
-    keys = staged(repeated_keys(df, key), "repeated-keys")
-    size = keys.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum("dup_rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.col("dup_key").cast("string"))), F.lit(0)).alias("text"),
-    ).first()
-    if size["keys"] == 0:
+    size = Observation()
+    keys = staged(
+        repeated_keys(df, key).observe(
+            size,
+            F.count(F.lit(1)).alias("keys"),
+            F.coalesce(F.sum("dup_rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.octet_length(F.col("dup_key").cast("string"))), F.lit(0)).alias(
+                "text"
+            ),
+        ),
+        "repeated-keys",
+    )
+    found = size.get
+    if found["keys"] == 0:
         return df.withColumn(flag, F.lit(False))
 
     own = F.col(f"`{key}`")
     kept = [F.col(f"`{name}`") for name in df.columns]
-    if size["text"] + size["keys"] * _ROW_OVERHEAD <= broadcast_bytes:
+    if found["text"] + found["keys"] * _ROW_OVERHEAD <= broadcast_bytes:
         small = F.broadcast(keys.select("dup_key", F.lit(True).alias("dup_hit")))
         joined = df.join(small, own.eqNullSafe(F.col("dup_key")), "left")
         return joined.select(*kept, F.col("dup_hit").isNotNull().alias(flag))
 
-    heavy = F.col("dup_key").isNull() | (F.col("dup_rows") >= max(1, size["rows"] // hot_keys))
+    heavy = F.col("dup_key").isNull() | (F.col("dup_rows") >= max(1, found["rows"] // hot_keys))
     hot = F.broadcast(
         keys.filter(heavy).select(F.col("dup_key").alias("hot_key"), F.lit(True).alias("hot_hit"))
     )

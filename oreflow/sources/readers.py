@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -31,6 +31,7 @@ def read_csv(
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("recursiveFileLookup", True)
     )
     if schema is not None:
         reader = reader.schema(text_schema(*schema.names))
@@ -44,18 +45,25 @@ def read_csv(
     return raw.select(*columns)
 
 
+def _json(spark: SparkSession, schema: StructType) -> DataFrameReader:
+    """A raw path is a pile of files: folder names below it are no columns."""
+    return (
+        spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", True)
+    )
+
+
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Files that each hold one JSON array of objects.
 
     Such a file cannot be split: one task reads it whole. Large feeds should
     come as a folder of array files, or as JSON lines.
     """
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return _json(spark, schema).option("multiLine", True).json(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One JSON object per line; blank lines are skipped, a bad line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return _json(spark, schema).json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

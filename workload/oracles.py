@@ -15,6 +15,9 @@ WS = (
     "||chr(8239)||chr(8287)||chr(12288)"
 )
 
+# Money has two decimals here: it is summed as such, since sums of doubles depend
+# on the order of addition. Scores have at most six, means are cut after nine.
+
 DATASETS = (
     "customers", "accounts", "products", "transactions", "customer_service_notes",
     "exchange_rates_api", "fraud_alert_events",
@@ -274,16 +277,16 @@ GOLD_CTES = {
         count(DISTINCT product_id) AS product_count,
         CAST(sum(CASE WHEN account_status = 'active' THEN 1 ELSE 0 END) AS BIGINT)
             AS active_account_count,
-        sum(current_balance) AS total_current_balance,
-        avg(current_balance) AS average_current_balance FROM accounts GROUP BY customer_id""",
+        CAST(sum(CAST(current_balance AS DECIMAL(38, 2))) AS DOUBLE) AS total_current_balance,
+        CAST(sum(CAST(current_balance AS DECIMAL(38, 2))) AS DOUBLE) / count(current_balance) AS average_current_balance FROM accounts GROUP BY customer_id""",
     "transaction_agg": """SELECT customer_id, count(*) AS transaction_count,
-        sum(amount) AS total_transaction_amount, avg(amount) AS average_transaction_amount,
+        CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) AS total_transaction_amount, CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) / count(amount) AS average_transaction_amount,
         max(transaction_timestamp) AS most_recent_transaction_at,
         CAST(sum(CASE WHEN is_international THEN 1 ELSE 0 END) AS BIGINT)
             AS international_transaction_count,
         count(DISTINCT channel) AS channel_count FROM transactions GROUP BY customer_id""",
     "fraud_agg": """SELECT customer_id, count(*) AS fraud_alert_count,
-        avg(risk_score) AS average_fraud_risk_score, max(risk_score) AS maximum_fraud_risk_score,
+        CAST(sum(CAST(risk_score AS DECIMAL(38, 6))) AS DOUBLE) / count(risk_score) AS average_fraud_risk_score, max(risk_score) AS maximum_fraud_risk_score,
         CAST(sum(CASE WHEN recommended_action = 'review' THEN 1 ELSE 0 END) AS BIGINT)
             AS fraud_review_count FROM fraud_alert_events GROUP BY customer_id""",
     "service_agg": """SELECT customer_id, count(*) AS service_case_count,
@@ -344,8 +347,8 @@ FEATURES_WITH = f"""{CUSTOMER_360_WITH},
 features AS (SELECT {FEATURES}, {RATIOS}, {LABEL} FROM customer_360)"""
 DAILY = """SELECT CAST(transaction_date AS DATE) AS transaction_date, transaction_type, channel,
     merchant_category, count(*) AS transaction_count,
-    round(sum(amount), 2) AS total_transaction_amount,
-    round(avg(amount), 2) AS average_transaction_amount,
+    round(CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE), 2) AS total_transaction_amount,
+    round(CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) / count(amount), 2) AS average_transaction_amount,
     round(max(amount), 2) AS maximum_transaction_amount,
     CAST(sum(CASE WHEN is_international THEN 1 ELSE 0 END) AS BIGINT)
         AS international_transaction_count
@@ -353,17 +356,17 @@ DAILY = """SELECT CAST(transaction_date AS DATE) AS transaction_date, transactio
 PRODUCT_ROLES = ("products", "accounts", "transactions")
 PRODUCT_CTES = """
 account_tx AS (SELECT account_id, count(*) AS transaction_count,
-    sum(amount) AS total_transaction_amount, avg(amount) AS average_transaction_amount
+    CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) AS total_transaction_amount, CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) / count(amount) AS average_transaction_amount
     FROM transactions GROUP BY account_id),
 product_performance AS (
     SELECT p.product_id, p.product_name, p.product_type, p.business_domain,
         count(DISTINCT a.account_id) AS account_count,
         count(DISTINCT a.customer_id) AS customer_count,
-        round(sum(a.current_balance), 2) AS total_current_balance,
-        round(avg(a.current_balance), 2) AS average_current_balance,
+        round(CAST(sum(CAST(a.current_balance AS DECIMAL(38, 2))) AS DOUBLE), 2) AS total_current_balance,
+        round(CAST(sum(CAST(a.current_balance AS DECIMAL(38, 2))) AS DOUBLE) / count(a.current_balance), 2) AS average_current_balance,
         CAST(COALESCE(sum(t.transaction_count), 0) AS BIGINT) AS transaction_count,
-        round(COALESCE(sum(t.total_transaction_amount), 0), 2) AS total_transaction_amount,
-        round(COALESCE(avg(t.average_transaction_amount), 0), 2) AS average_transaction_amount
+        round(COALESCE(CAST(sum(CAST(t.total_transaction_amount AS DECIMAL(38, 2))) AS DOUBLE), 0), 2) AS total_transaction_amount,
+        round(COALESCE(CAST(sum(CAST(t.average_transaction_amount AS DECIMAL(38, 9))) AS DOUBLE) / count(t.average_transaction_amount), 0), 2) AS average_transaction_amount
     FROM products p LEFT JOIN accounts a ON p.product_id = a.product_id
     LEFT JOIN account_tx t ON a.account_id = t.account_id
     GROUP BY p.product_id, p.product_name, p.product_type, p.business_domain)"""
@@ -519,8 +522,8 @@ def oracle_sql() -> dict[str, str]:
     sql["gold_daily_summary"] = f"WITH {role_cte('transactions')} {DAILY}"
     sql["gold_account_transactions"] = f"""WITH {role_cte('transactions')}
         SELECT account_id, count(*) AS transaction_count,
-        round(sum(amount), 2) AS total_transaction_amount,
-        round(avg(amount), 2) AS average_transaction_amount FROM transactions GROUP BY account_id"""
+        round(CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE), 2) AS total_transaction_amount,
+        round(CAST(sum(CAST(amount AS DECIMAL(38, 2))) AS DOUBLE) / count(amount), 2) AS average_transaction_amount FROM transactions GROUP BY account_id"""
     sql["gold_product_performance"] = f"{PRODUCT_WITH} SELECT * FROM product_performance"
     sql["gold_reject_summary"] = f"{HITS_WITH} {REJECT_SUMMARY}"
     sql["gold_dq_dashboard"] = f"{DASHBOARD_WITH} SELECT * FROM dashboard"
@@ -600,7 +603,7 @@ def oracle_sql() -> dict[str, str]:
         fraud_alert_count, service_case_count FROM customer_360 ORDER BY customer_id LIMIT 100"""
     sql["rpt_segment_summary"] = f"""{CUSTOMER_360_WITH} SELECT customer_segment,
         count(customer_id) AS customers, round(avg(transaction_count), 4) AS avg_transactions,
-        round(avg(total_current_balance), 2) AS avg_balance FROM customer_360
+        round(CAST(sum(CAST(total_current_balance AS DECIMAL(38, 2))) AS DOUBLE) / count(total_current_balance), 2) AS avg_balance FROM customer_360
         WHERE customer_segment IS NOT NULL GROUP BY customer_segment"""
     sql["rpt_product_totals"] = (
         f"{PRODUCT_WITH} SELECT product_name, total_transaction_amount FROM product_performance"
