@@ -3,17 +3,23 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from oreflow.functions.text import quoted
 
-def to_double(value: Column) -> Column:
+
+def to_double(name: str) -> Column:
     """Number, or null where the text is none. NaN counts as missing.
 
     The JVM also parses suffixed (``1d``) and hexadecimal literals; those are
     text, not numbers, to the data owners and become null.
     """
-    text = value.cast("string")
-    number = text.try_cast("double")
-    jvm_only = text.rlike(r"(?i)[0-9.][df]\s*$|0x")
-    return F.when(~jvm_only & ~F.isnan(number), number)
+    column = quoted(name)
+    text, number = f"CAST({column} AS STRING)", f"try_cast({column} AS DOUBLE)"
+    finite = f"abs({number}) < double('Infinity')"
+    jvm_only = (
+        f"{text} LIKE '%d' OR {text} LIKE '%D' OR {text} LIKE '%x%' OR {text} LIKE '%X%' "
+        f"OR ({text} LIKE '%f' OR {text} LIKE '%F') AND {finite}"
+    )
+    return F.expr(f"CASE WHEN NOT isnan({number}) AND NOT ({jvm_only}) THEN {number} END")
 
 
 def round_half_away(value: Column, digits: int) -> Column:

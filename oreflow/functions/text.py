@@ -18,23 +18,44 @@ NA_TOKENS = (
 )
 
 
-def strip(text: Column) -> Column:
+# The same characters as a SQL literal.
+_WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+_NA_SQL = ", ".join(f"'{token}'" for token in NA_TOKENS)
+
+
+def quoted(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+# The expressions below are SQL text, one call per column: with hundreds of
+# columns, building them function by function costs more than small jobs take.
+
+
+def _stripped(sql: str) -> str:
+    return f"btrim({sql}, {_WHITESPACE_SQL})"
+
+
+def strip(name: str) -> Column:
     """Remove leading and trailing whitespace, tabs and line breaks included.
 
     Spark's one-argument ``trim`` removes blanks only.
     """
-    return F.btrim(text, F.lit(WHITESPACE))
+    return F.expr(_stripped(quoted(name)))
 
 
-def fold_case(text: Column) -> Column:
-    return F.lower(strip(text))
+def fold_case(name: str) -> Column:
+    """Stripped and lower-cased."""
+    return F.expr(f"lower({_stripped(quoted(name))})")
 
 
-def is_blank(value: Column) -> Column:
+def is_blank(name: str) -> Column:
     """True for null and for text that is empty after stripping; never null."""
-    return value.isNull() | (strip(value.cast("string")) == "")
+    column = quoted(name)
+    return F.expr(f"{column} IS NULL OR {_stripped(f'CAST({column} AS STRING)')} = ''")
 
 
-def null_if_na(text: Column) -> Column:
+def null_if_na(name: str) -> Column:
     """Null for the missing-value tokens of a CSV file, else the text unchanged."""
-    return F.when(~text.isin(*NA_TOKENS), text)
+    column = quoted(name)
+    return F.expr(f"CASE WHEN {column} NOT IN ({_NA_SQL}) THEN {column} END")

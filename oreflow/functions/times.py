@@ -1,8 +1,15 @@
 """Timestamp expressions."""
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+from oreflow.functions.text import quoted
 
-def to_ntz(value: Column) -> Column:
+
+def to_ntz(name: str) -> Column:
     """Zone-less timestamp, or null where the value cannot be read as one."""
-    return value.try_cast("timestamp_ntz")
+    return F.expr(f"try_cast({quoted(name)} AS TIMESTAMP_NTZ)")
+
+
+def to_boolean(name: str) -> Column:
+    return F.expr(f"try_cast({quoted(name)} AS BOOLEAN)")

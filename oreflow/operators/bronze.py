@@ -58,7 +58,7 @@ def add_row_hash(
     start with an underscore and gives a fingerprint comparable across loads.
     """
     covered = [c for c in df.columns if include_metadata or not c.startswith("_")]
-    return df.withColumn(name, row_hash(F.col(f"`{c}`") for c in covered))
+    return df.withColumn(name, row_hash(covered))
 
 
 def to_bronze(

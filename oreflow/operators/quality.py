@@ -67,7 +67,7 @@ def flag_rules(
     """
     names = df.columns
     masks: list[tuple[str, Column]] = [
-        (required_rule(column), is_blank(F.col(f"`{column}`")))
+        (required_rule(column), is_blank(column))
         for column in spec.required
         if column in names
     ]

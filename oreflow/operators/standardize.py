@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from oreflow.functions import fold_case, strip, to_double, to_ntz
+from oreflow.functions import fold_case, quoted, strip, to_boolean, to_double, to_ntz
 
 # The columns each cleaning step applies to, where present.
 DATE_COLUMNS = (
@@ -28,10 +28,10 @@ LOWERCASE_COLUMNS = (
 
 
 def _rewrite(
-    df: DataFrame, names: Sequence[str], expression: Callable[[Column], Column]
+    df: DataFrame, names: Sequence[str], expression: Callable[[str], Column]
 ) -> DataFrame:
     present = [name for name in names if name in df.columns]
-    return df.withColumns({name: expression(F.col(f"`{name}`")) for name in present})
+    return df.withColumns({name: expression(name) for name in present})
 
 
 def _text_columns(df: DataFrame) -> list[str]:
@@ -61,11 +61,14 @@ def coerce_numbers(df: DataFrame, names: Sequence[str] = NUMERIC_COLUMNS) -> Dat
 
 
 def coerce_booleans(df: DataFrame, names: Sequence[str] = BOOLEAN_COLUMNS) -> DataFrame:
-    return _rewrite(df, names, lambda value: value.try_cast("boolean"))
+    return _rewrite(df, names, to_boolean)
 
 
-def lowercase(df: DataFrame, names: Sequence[str] = LOWERCASE_COLUMNS) -> DataFrame:
-    return _rewrite(df, names, fold_case)
+def lowercase(
+    df: DataFrame, names: Sequence[str] = LOWERCASE_COLUMNS, *, stripped: bool = False
+) -> DataFrame:
+    """Strip and lower-case. ``stripped`` spares the first where it was done before."""
+    return _rewrite(df, names, (lambda name: F.lower(quoted(name))) if stripped else fold_case)
 
 
 def add_transaction_date(df: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def standardize(df: DataFrame, processed_at: str) -> DataFrame:
         .transform(coerce_dates)
         .transform(coerce_numbers)
         .transform(coerce_booleans)
-        .transform(lowercase)
+        .transform(lowercase, stripped=True)
         .transform(add_transaction_date)
         .transform(stamp, processed_at)
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from oreflow.functions import null_if_na
@@ -38,7 +37,7 @@ def read_csv(
     raw = reader.csv(path)
     columns = []
     for field in schema or raw.schema:
-        value = null_if_na(F.col(f"`{field.name}`"))
+        value = null_if_na(field.name)
         if not isinstance(field.dataType, StringType):
             value = value.cast(field.dataType)
         columns.append(value.alias(field.name))
