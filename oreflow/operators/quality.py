@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from oreflow.functions import is_blank
 from oreflow.model import CRITICAL, DatasetSpec
@@ -28,6 +28,19 @@ REJECT_SCHEMA = StructType(
     ]
 )
 
+AUDIT_SCHEMA = StructType(
+    [
+        StructField("dataset_name", StringType()),
+        StructField("bronze_table", StringType()),
+        StructField("silver_table", StringType()),
+        StructField("bronze_row_count", LongType()),
+        StructField("silver_row_count", LongType()),
+        StructField("rejected_rule_hits", LongType()),
+        StructField("processed_at_utc", StringType()),
+        StructField("status", StringType()),
+    ]
+)
+
 _JSON_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
@@ -136,18 +149,17 @@ def transform_audit(flagged: DataFrame, spec: DatasetSpec, processed_at: str) ->
         F.count_if(ROW_VALID).alias("silver_row_count"),
         F.coalesce(F.sum(hits), F.lit(0)).cast("bigint").alias("rejected_rule_hits"),
     )
-    return audit_row(counts, spec, processed_at)
-
-
-def audit_row(counts: DataFrame, spec: DatasetSpec, processed_at: str) -> DataFrame:
-    """Dress a one-row frame of the three counts as an audit record."""
     return counts.select(
         F.lit(spec.name).alias("dataset_name"),
         F.lit(spec.bronze_table).alias("bronze_table"),
         F.lit(spec.silver_table).alias("silver_table"),
-        "bronze_row_count",
-        "silver_row_count",
-        "rejected_rule_hits",
+        "*",
         F.lit(processed_at).alias("processed_at_utc"),
         F.lit("success").alias("status"),
     )
+
+
+def audit_table(spark: SparkSession, records: Iterable[dict]) -> DataFrame:
+    """One row per dataset from counts taken elsewhere."""
+    rows = [tuple(record[name] for name in AUDIT_SCHEMA.names) for record in records]
+    return spark.createDataFrame(rows, AUDIT_SCHEMA)

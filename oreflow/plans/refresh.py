@@ -43,7 +43,7 @@ def refresh_bronze(
 ) -> DataFrame:
     """Load every registered source and write the load audit."""
 
-    def load(spec: SourceSpec) -> DataFrame:
+    def load(spec: SourceSpec) -> dict:
         table = DATASETS[spec.name].bronze_table
         path = output_path(out, table)
         df = bronze.to_bronze(
@@ -54,19 +54,22 @@ def refresh_bronze(
             source_file=spec.file_name,
         )
         replace_parquet(df, path)
-        return bronze.count_load(
-            spark.read.schema(df.schema).parquet(path),
-            load_id=load_id,
-            dataset_name=spec.name,
-            source_file=spec.file_name,
-            source_system=spec.source_system,
-            file_format=spec.file_format,
-            loaded_at=run_ts,
-        )
+        # Counted from the footers of what was stored: right after retries too.
+        return {
+            "bronze_load_id": load_id,
+            "dataset_name": spec.name,
+            "source_file": spec.file_name,
+            "source_system": spec.source_system,
+            "file_format": spec.file_format,
+            "row_count": spark.read.schema(df.schema).parquet(path).count(),
+            "column_count": len(df.columns),
+            "loaded_at_utc": run_ts,
+            "status": "success",
+        }
 
-    audits = _each(spark, load, SOURCES.values())
-    replace_parquet(_union(audits).coalesce(1), output_path(out, "bronze_load_audit"))
-    return load_output(spark, out, "bronze_load_audit")
+    audit = bronze.load_audit(spark, _each(spark, load, SOURCES.values()))
+    replace_parquet(audit.coalesce(1), output_path(out, "bronze_load_audit"))
+    return audit
 
 
 def write_checked(flagged: DataFrame, path: str) -> None:
@@ -109,21 +112,25 @@ def stored_rejects(checked: DataFrame, spec: DatasetSpec, rejected_at: str) -> D
     )
 
 
-def stored_audit(checked: DataFrame, spec: DatasetSpec, processed_at: str) -> DataFrame:
-    """Audit row of a stored dataset. Reads no column, so counts come from file footers."""
-    rows = F.col("outcome_rows")
-    counts = checked.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("outcome_rows"))
-    rules = F.when(F.col(OUTCOME).isin(PASSED, UNDECIDED), 0).otherwise(
-        F.size(F.split(OUTCOME, ","))
-    )
-    summed = counts.agg(
-        F.coalesce(F.sum(rows), F.lit(0)).alias("bronze_row_count"),
-        F.coalesce(F.sum(F.when(F.col(OUTCOME) == PASSED, rows)), F.lit(0)).alias(
-            "silver_row_count"
-        ),
-        F.coalesce(F.sum(rules * rows), F.lit(0)).alias("rejected_rule_hits"),
-    )
-    return quality.audit_row(summed, spec, processed_at)
+def stored_audit(checked: DataFrame, spec: DatasetSpec, processed_at: str) -> dict:
+    """Audit record of a stored dataset.
+
+    Reads no column, so the counts come from file footers; their number is
+    bounded by the rules of the dataset.
+    """
+    counts = checked.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
+    rows = {row[OUTCOME]: row["n"] for row in counts.collect()}
+    broken = {key: n for key, n in rows.items() if key not in (PASSED, UNDECIDED)}
+    return {
+        "dataset_name": spec.name,
+        "bronze_table": spec.bronze_table,
+        "silver_table": spec.silver_table,
+        "bronze_row_count": sum(rows.values()),
+        "silver_row_count": rows.get(PASSED, 0),
+        "rejected_rule_hits": sum(n * len(key.split(",")) for key, n in broken.items()),
+        "processed_at_utc": processed_at,
+        "status": "success",
+    }
 
 
 def refresh_silver(
@@ -131,28 +138,27 @@ def refresh_silver(
 ) -> dict[str, DataFrame]:
     """Standardise and validate every bronze table; returns the silver tables by dataset."""
 
-    def check(spec: DatasetSpec) -> DataFrame:
+    def check(spec: DatasetSpec) -> tuple[DataFrame, dict]:
         rows = standardize.standardize(load_output(spark, out, spec.bronze_table), run_ts)
         path = checked_path(out, spec.silver_table)
         write_checked(quality.flag_rules(rows, spec, strict_nulls=strict_nulls), path)
-        return read_checked(spark, path, rows.schema)
+        checked = read_checked(spark, path, rows.schema)
+        return checked, stored_audit(checked, spec, run_ts)
 
-    checked = dict(zip(DATASETS, _each(spark, check, DATASETS.values()), strict=True))
-    audits = _union(
-        [stored_audit(checked[name], spec, run_ts) for name, spec in DATASETS.items()]
-    )
+    specs = list(DATASETS.values())
+    results = _each(spark, check, specs)
+    audit = quality.audit_table(spark, [record for _, record in results])
     rejects = quality.union_rejects(
-        spark, [stored_rejects(checked[name], spec, run_ts) for name, spec in DATASETS.items()]
-    )
-    _each(
         spark,
-        lambda job: replace_parquet(*job),
         [
-            (audits.coalesce(1), output_path(out, "silver_transform_audit")),
-            (rejects, output_path(out, "silver_data_quality_rejects")),
+            stored_rejects(checked, spec, run_ts)
+            for spec, (checked, record) in zip(specs, results, strict=True)
+            if record["rejected_rule_hits"]
         ],
     )
-    return {name: passed_rows(df) for name, df in checked.items()}
+    replace_parquet(audit.coalesce(1), output_path(out, "silver_transform_audit"))
+    replace_parquet(rejects, output_path(out, "silver_data_quality_rejects"))
+    return {spec.name: passed_rows(df) for spec, (df, _) in zip(specs, results, strict=True)}
 
 
 def refresh_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame]) -> None:
@@ -252,9 +258,3 @@ def refresh(
     refresh_gold(spark, out, silver)
     refresh_triage(spark, out, run_ts=run_ts)
 
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame)
-    return merged
