@@ -48,7 +48,8 @@ def mark_repeated(
     * large: a broadcast for the null key and the few heavy keys (their number
       is bounded by the cut-off) and a shuffle join for all others. Rows already decided
       by the broadcast carry no join key and are spread by task number, so
-      that no reducer receives a heavy group.
+      that no reducer receives a heavy group. (The slot of all others is a
+      function of the key: a constant would be folded out of the join.)
     """
     size = Observation()
     keys = staged(
@@ -78,7 +79,7 @@ def mark_repeated(
         keys.filter(heavy).select(F.col("dup_key").alias("hot_key"), F.lit(True).alias("hot_hit"))
     )
     cold = keys.filter(~heavy).select(
-        "dup_key", F.lit(0).alias("dup_slot"), F.lit(True).alias("dup_hit")
+        "dup_key", F.xxhash64("dup_key").alias("dup_slot"), F.lit(True).alias("dup_hit")
     )
     routed = df.join(hot, own.eqNullSafe(F.col("hot_key")), "left").select(
         *kept, F.col("hot_hit").isNotNull().alias("hot_hit")
@@ -88,7 +89,9 @@ def mark_repeated(
         *kept,
         "hot_hit",
         F.when(~decided, own).alias("route_key"),
-        F.when(decided, F.spark_partition_id() + 1).otherwise(0).alias("route_slot"),
+        F.when(decided, F.spark_partition_id().cast("bigint"))
+        .otherwise(F.xxhash64(own))
+        .alias("route_slot"),
     )
     joined = routed.join(
         cold,
