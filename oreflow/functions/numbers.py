@@ -6,20 +6,22 @@ from pyspark.sql import functions as F
 from oreflow.functions.text import quoted
 
 
-def to_double(name: str) -> Column:
-    """Number, or null where the text is none. NaN counts as missing.
+def to_double(name: str, *, is_text: bool = True) -> Column:
+    """Number, or null where the value is none. NaN counts as missing.
 
     The JVM also parses suffixed (``1d``) and hexadecimal literals; those are
-    text, not numbers, to the data owners and become null.
+    text, not numbers, to the data owners and become null. Of the
+    numbers only ``inf`` ends in one of those letters.
     """
     column = quoted(name)
-    text, number = f"CAST({column} AS STRING)", f"try_cast({column} AS DOUBLE)"
-    finite = f"abs({number}) < double('Infinity')"
+    if not is_text:
+        return F.expr(f"nullif(CAST({column} AS DOUBLE), double('NaN'))")
     jvm_only = (
-        f"{text} LIKE '%d' OR {text} LIKE '%D' OR {text} LIKE '%x%' OR {text} LIKE '%X%' "
-        f"OR ({text} LIKE '%f' OR {text} LIKE '%F') AND {finite}"
+        f"{column} LIKE '%d' OR {column} LIKE '%D' OR {column} LIKE '%x%' OR {column} LIKE '%X%' "
+        f"OR (({column} LIKE '%f' OR {column} LIKE '%F') AND lower({column}) NOT LIKE '%inf')"
     )
-    return F.expr(f"CASE WHEN NOT isnan({number}) AND NOT ({jvm_only}) THEN {number} END")
+    number = f"try_cast({column} AS DOUBLE)"
+    return F.expr(f"nullif(CASE WHEN NOT ({jvm_only}) THEN {number} END, double('NaN'))")
 
 
 def round_half_away(value: Column, digits: int) -> Column:

@@ -49,10 +49,10 @@ def fold_case(name: str) -> Column:
     return F.expr(f"lower({_stripped(quoted(name))})")
 
 
-def is_blank(name: str) -> Column:
+def is_blank(name: str, *, stripped: bool = False) -> Column:
     """True for null and for text that is empty after stripping; never null."""
     column = quoted(name)
-    return F.expr(f"{column} IS NULL OR {_stripped(f'CAST({column} AS STRING)')} = ''")
+    return F.expr(f"{column} IS NULL OR {column if stripped else _stripped(column)} = ''")
 
 
 def null_if_na(name: str) -> Column:

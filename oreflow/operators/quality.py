@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from oreflow.functions import is_blank
+from oreflow.functions import is_blank, quoted
 from oreflow.model import CRITICAL, DatasetSpec
 from oreflow.operators.uniqueness import mark_repeated
 
@@ -69,6 +69,7 @@ def flag_rules(
     spec: DatasetSpec,
     *,
     strict_nulls: bool = False,
+    stripped: bool = False,
     **uniqueness: int,
 ) -> DataFrame:
     """Append the violated rules and the verdict of each row, in one pass.
@@ -76,11 +77,19 @@ def flag_rules(
     Rules on columns the dataset lacks are skipped. A mask may be null (a
     missing currency is neither right nor wrong): such a row breaks no rule,
     yet is not valid either and leaves silver without a reject record.
-    ``strict_nulls`` counts an undecided rule as broken instead.
+    ``strict_nulls`` counts an undecided rule as broken instead; ``stripped``
+    says that text is free of outer whitespace already, as after
+    standardisation.
     """
     names = df.columns
+    text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
     masks: list[tuple[str, Column]] = [
-        (required_rule(column), is_blank(column))
+        (
+            required_rule(column),
+            is_blank(column, stripped=stripped)
+            if column in text
+            else F.col(quoted(column)).isNull(),
+        )
         for column in spec.required
         if column in names
     ]
@@ -95,8 +104,12 @@ def flag_rules(
     if strict_nulls:
         masks = [(name, F.coalesce(mask, F.lit(True))) for name, mask in masks]
     data = [F.col(f"`{name}`") for name in names]
-    hits = F.concat_ws(",", *[F.when(mask, F.lit(name)) for name, mask in masks])
-    verdict = ~reduce(or_, (mask for _, mask in masks), F.lit(False))
+    # Always true, but not to the optimizer: it keeps filters on the two results
+    # above this projection. Pushed below, they would clean and parse each value
+    # again for every time a rule mentions it.
+    here = F.spark_partition_id() >= 0
+    hits = F.when(here, F.concat_ws(",", *[F.when(mask, F.lit(name)) for name, mask in masks]))
+    verdict = here & ~reduce(or_, (mask for _, mask in masks), F.lit(False))
     return df.select(*data, hits.alias(RULE_HITS), verdict.alias(ROW_VALID))
 
 

@@ -57,7 +57,8 @@ def coerce_dates(df: DataFrame, names: Sequence[str] = DATE_COLUMNS) -> DataFram
 
 
 def coerce_numbers(df: DataFrame, names: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
-    return _rewrite(df, names, to_double)
+    text = set(_text_columns(df))
+    return _rewrite(df, names, lambda name: to_double(name, is_text=name in text))
 
 
 def coerce_booleans(df: DataFrame, names: Sequence[str] = BOOLEAN_COLUMNS) -> DataFrame:

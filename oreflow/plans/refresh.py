@@ -141,7 +141,8 @@ def refresh_silver(
     def check(spec: DatasetSpec) -> tuple[DataFrame, dict]:
         rows = standardize.standardize(load_output(spark, out, spec.bronze_table), run_ts)
         path = checked_path(out, spec.silver_table)
-        write_checked(quality.flag_rules(rows, spec, strict_nulls=strict_nulls), path)
+        flagged = quality.flag_rules(rows, spec, strict_nulls=strict_nulls, stripped=True)
+        write_checked(flagged, path)
         checked = read_checked(spark, path, rows.schema)
         return checked, stored_audit(checked, spec, run_ts)
 

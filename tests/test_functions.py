@@ -50,7 +50,8 @@ def test_to_double(column):
 
 
 def test_to_double_maps_nan_numbers_to_null(column):
-    assert column([1.5, float("nan"), None], to_double("v"), "double") == [1.5, None, None]
+    values = [1.5, float("nan"), None]
+    assert column(values, to_double("v", is_text=False), "double") == [1.5, None, None]
 
 
 def test_to_ntz_and_boolean(column):

@@ -55,7 +55,7 @@ def standardized(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def flagged(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return quality.flag_rules(standardized(spark, folder, name), DATASETS[name])
+    return quality.flag_rules(standardized(spark, folder, name), DATASETS[name], stripped=True)
 
 
 def all_flagged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
