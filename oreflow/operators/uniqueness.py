@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def mark_repeated(
         joined = df.join(small, own.eqNullSafe(F.col("dup_key")), "left")
         return joined.select(*kept, F.col("dup_hit").isNotNull().alias(flag))
 
-    heavy = F.col("dup_key").isNull() | (F.col("dup_rows") >= max(1, found["rows"] // hot_keys))
+    heavy = F.col("dup_key").isNull() | (F.col("dup_rows") >= ceil(found["rows"] / hot_keys))
     hot = F.broadcast(
         keys.filter(heavy).select(F.col("dup_key").alias("hot_key"), F.lit(True).alias("hot_hit"))
     )
