@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.pieces import decode_pieces, encode_pieces
+from oreflow.llm.rules import judge
+from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.token_files import read_token_files, write_token_files
 from oreflow.session import scratch_path
 
@@ -17,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -38,8 +45,12 @@ def pieces(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"))
 
 
+def substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_token_files": token_files, "op8_pieces": pieces}
+    return {"op4_rules": rules, "op6_token_files": token_files, "op8_pieces": pieces, "op10_substrings": substrings}
 
 
 def oracle_sql() -> dict[str, str]:
