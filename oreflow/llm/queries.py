@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm.contamination import find_passages
 from oreflow.llm.pieces import decode_pieces, encode_pieces
 from oreflow.llm.rules import judge
+from oreflow.llm.secrets import find_secrets
 from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.token_files import read_token_files, write_token_files
 from oreflow.session import scratch_path
@@ -41,16 +43,43 @@ def piece_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents"))
+    number = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")
+    base = F.filter("spans", lambda x: x.kind != "guess")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def pieces(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"))
 
 
+def passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = F.aggregate(
+        F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)),
+        F.lit(0).cast("long"),
+        lambda total, x: total + x,
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def substrings(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_rules": rules, "op6_token_files": token_files, "op8_pieces": pieces, "op10_substrings": substrings}
+    return {"op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
 
 
 def oracle_sql() -> dict[str, str]:
