@@ -67,11 +67,11 @@ def part_bits(df: DataFrame, text_col: str, per_byte: float, most: int = 500_000
     return max(4, math.ceil(math.log2(max(1.0, total * per_byte / most))))
 
 
-def cells(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
-    """Cuts of rows in ascending order of key, with the number of their part."""
+def cells(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[int, bytes]]:
+    """Cuts of rows in ascending order of key, with the number of their part; keys have `width` bits."""
     if not len(keys):
         return
-    parts = keys >> np.uint64(64 - bits)
+    parts = keys >> np.uint64(width - bits)
     edges = np.flatnonzero(np.append(True, parts[1:] != parts[:-1]))
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)], strict=True):
         yield int(parts[a]), pack(keys[a:b], docs[a:b], places[a:b])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.contamination import find_passages
+from oreflow.llm.parity_join import near_copies
 from oreflow.llm.pieces import decode_pieces, encode_pieces
 from oreflow.llm.rules import judge
 from oreflow.llm.secrets import find_secrets
@@ -21,6 +22,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def parity_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents"))
+
+
 def rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
@@ -79,7 +84,7 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
+    return {"op3_parity_join": parity_join, "op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
 
 
 def oracle_sql() -> dict[str, str]:
