@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.contamination import find_passages
 from oreflow.llm.parity_join import near_copies
-from oreflow.llm.pieces import decode_pieces, encode_pieces
+from oreflow.llm.pieces import encode_pieces
 from oreflow.llm.rules import judge
 from oreflow.llm.secrets import find_secrets
 from oreflow.llm.substrings import remove_repeats
+from oreflow.llm.surrogates import replace_entities
 from oreflow.llm.token_files import read_token_files, write_token_files
 from oreflow.session import scratch_path
 
@@ -22,6 +23,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Key of the surrogates that the query makes; in use it is a secret of the caller.
+SURROGATE_KEY = b"surrogates of the query"
+
+
+def surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY, count_col="n_entities")
+
+
 def parity_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"))
 
@@ -39,7 +49,7 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def piece_digests(docs: DataFrame) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = decode_pieces(encode_pieces(docs, model), model)
+    coded = encode_pieces(docs, model, decode=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -84,7 +94,7 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_parity_join": parity_join, "op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
+    return {"op1_surrogates": surrogates, "op3_parity_join": parity_join, "op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
 
 
 def oracle_sql() -> dict[str, str]:
