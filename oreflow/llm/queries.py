@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm import oracles, passage_attention
 from oreflow.llm.contamination import find_passages
 from oreflow.llm.parity_join import near_copies
 from oreflow.llm.pieces import encode_pieces
+from oreflow.llm.preferences import preference_rows, swapped, turns_of
 from oreflow.llm.rules import judge
 from oreflow.llm.secrets import find_secrets
 from oreflow.llm.substrings import remove_repeats
@@ -32,6 +34,12 @@ def surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return replace_entities(docs, SURROGATE_KEY, count_col="n_entities")
 
 
+def preferences(spark: SparkSession, folder: str) -> DataFrame:
+    mask = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x.start.cast("string"), x.end.cast("string"))), ",").alias(c)
+    made = preference_rows(swapped(turns_of(table(spark, folder, "conversations"))))
+    return made.select("pair_id", "n_prompt_turns", "prompt", "chosen", "rejected", mask("chosen_mask"), mask("rejected_mask"), "identical")
+
+
 def parity_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"))
 
@@ -41,6 +49,18 @@ def rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def scored(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of the documents, learned from the labels that aren't held out."""
+    labels = table(spark, folder, "labels").where(~passage_attention.held_out()).select("doc_id", F.col("quality").alias("label"))
+    network = passage_attention.fit(table(spark, folder, "documents"), labels)
+    scores = passage_attention.score(docs, network)
+    return scores.select("doc_id", passage_attention.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def attention(spark: SparkSession, folder: str) -> DataFrame:
+    return scored(spark, table(spark, folder, "documents"), folder)
+
+
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -94,8 +114,25 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_surrogates": surrogates, "op3_parity_join": parity_join, "op4_rules": rules, "op6_token_files": token_files, "op7_secrets": secrets, "op8_pieces": pieces, "op9_passages": passages, "op10_substrings": substrings}
+    return {
+        "op1_surrogates": surrogates,
+        "op2_preferences": preferences,
+        "op3_parity_join": parity_join,
+        "op4_rules": rules,
+        "op5_attention": attention,
+        "op6_token_files": token_files,
+        "op7_secrets": secrets,
+        "op8_pieces": pieces,
+        "op9_passages": passages,
+        "op10_substrings": substrings,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can do the same: not for keyed surrogates, learned scores, guess costs and tokenizers."""
+    return {
+        "op2_preferences": oracles.PREFERENCES,
+        "op3_parity_join": oracles.PARITY_JOIN,
+        "op9_passages": oracles.PASSAGES,
+        "op10_substrings": oracles.SUBSTRINGS,
+    }
