@@ -2,28 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from oreflow.llm import queries as corpus
+from oreflow.llm.contamination import remove_passages
+from oreflow.llm.parity_join import near_copies
+from oreflow.llm.surrogates import replace_entities
 from oreflow.session import scratch_path
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """n_chars as the changed texts have it, for tables that have such a column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    counted: Column = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return docs.withColumn("n_chars", counted)
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier, learned from the labels of the tables, scores at one half or more."""
+    return corpus.kept_by_score(spark, docs, folder)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id; of rows with one id the first by text. Rows with a null id stay."""
+    heads = near_copies(docs).where("doc_id = component_id").select("doc_id").distinct()
+    first = Window.partitionBy("doc_id").orderBy("text")
+    kept = docs.join(heads, "doc_id", "left_semi").withColumn(PLACE, F.row_number().over(first)).where(F.col(PLACE) == 1).drop(PLACE)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+PLACE = "__place"
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents without the words that benchmark items share with them."""
+    return _measured(remove_passages(docs, corpus.table(spark, folder, "benchmark")))
+
+
+def replace_personal(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents with surrogates for personal data."""
+    return _measured(replace_entities(docs, corpus.SURROGATE_KEY))
+
+
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Piece ids of every text that is left, as digests with their number."""
     return corpus.piece_digests(docs)
 
 
-STAGES = [("pieces", encode)]
+STAGES = [
+    ("quality classifier", reject_low_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", remove_benchmark),
+    ("PII", replace_personal),
+    ("SentencePiece encoding and decoding", encode),
+]
 
-#: The classifier and the piece encoder can't be expressed in SQL.
+#: The classifier, the surrogates and the piece encoder can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages in turn; each result but the last is written and read again."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"stage-{name}")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        path = scratch_path(spark, f"stage-{k}")
         stage(spark, docs, folder).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, folder)
