@@ -28,7 +28,7 @@ BINS = 48
 SAMPLE_DOCUMENTS = 4_000
 #: Passages of one document that are trained on at most, spread evenly; scoring uses all.
 SAMPLE_PASSAGES = 64
-HIDDEN, GATES, EPOCHS, BATCH, RATE, DECAY = 24, 12, 24, 128, 0.01, 1e-4
+HIDDEN, GATES, STEPS, BATCH, RATE, DECAY = 24, 12, 800, 128, 0.01, 1e-3
 
 _WORDS = Words(BLANK, fold_case=False)
 _CLASSES = np.zeros((7, 256), np.uint8)  # lower, upper, digit, stop, other mark, beyond ASCII, line end
@@ -142,7 +142,7 @@ def train(features: np.ndarray, heads: np.ndarray, labels: np.ndarray, share: fl
         "gate": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATES)), "attend": rng.normal(0, GATES**-0.5, GATES), "score": rng.normal(0, HIDDEN**-0.5, HIDDEN), "score0": np.array(0.0),
     }
     first, second, step = {k: 0.0 for k in w}, {k: 0.0 for k in w}, 0
-    for _ in range(EPOCHS):
+    while step < STEPS:
         order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             own = order[at : at + BATCH]
@@ -221,6 +221,22 @@ def score(docs: DataFrame, network: Network | float, id_col: str = "doc_id", tex
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(partial(_score, network=sent), schema)
 
 
+def _keep(batches: Iterator[pa.RecordBatch], network: Broadcast, text_at: int, least: float) -> Iterator[pa.RecordBatch]:
+    model = network.value
+    for batch in (part for whole in batches for part in slices(whole, text_at, 4 << 20)):
+        if isinstance(model, float):
+            stay = np.full(batch.num_rows, model >= least)
+        else:
+            stay = model.score(*passages(batch.column(text_at))) >= least
+        yield batch.filter(pa.array(stay))
+
+
+def keep(docs: DataFrame, network: Network | float, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, that score `least` or more; a constant score keeps all or none."""
+    sent = docs.sparkSession.sparkContext.broadcast(network)
+    return docs.mapInArrow(partial(_keep, network=sent, text_at=docs.columns.index(text_col), least=least), docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a document's label must not be learned from; a null id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1

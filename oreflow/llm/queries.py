@@ -49,16 +49,21 @@ def rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-def scored(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, held_out, score and predicted of the documents, learned from the labels that aren't held out."""
+def quality_network(spark: SparkSession, docs: DataFrame, folder: str) -> passage_attention.Network | float:
+    """The network learned from the documents and their labels, those that are held out left out."""
     labels = table(spark, folder, "labels").where(~passage_attention.held_out()).select("doc_id", F.col("quality").alias("label"))
-    network = passage_attention.fit(table(spark, folder, "documents"), labels)
-    scores = passage_attention.score(docs, network)
-    return scores.select("doc_id", passage_attention.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return passage_attention.fit(docs, labels)
+
+
+def kept_by_score(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents, all columns and rows as they are, without those scored under one half."""
+    return passage_attention.keep(docs, quality_network(spark, docs, folder))
 
 
 def attention(spark: SparkSession, folder: str) -> DataFrame:
-    return scored(spark, table(spark, folder, "documents"), folder)
+    docs = table(spark, folder, "documents")
+    scores = passage_attention.score(docs, quality_network(spark, docs, folder))
+    return scores.select("doc_id", passage_attention.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
