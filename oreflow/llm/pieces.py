@@ -11,6 +11,7 @@ text would give.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -20,13 +21,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.llm.batches import slices, take_ranges
 
 SPACE = "▁"
 #: Parts remembered by a Python worker; beyond that it forgets all and goes on.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
+#: Bytes of text encoded at a time.
+SLICE = 6 << 20
 
 
 class PieceModel:
@@ -47,7 +51,7 @@ class PieceModel:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         surfaces = [b"" if model.is_control(i) else p.replace(SPACE, " ").encode() for i, p in ((i, model.id_to_piece(i)) for i in ids)]
         for b, i in enumerate(self.byte_ids):
             if self.has_bytes:
@@ -59,16 +63,19 @@ class PieceModel:
 
     def merged(self, text: str) -> list[str]:
         """Joins the neighbours whose joint piece scores highest, the leftmost at ties, until none is left."""
-        symbols, scores = list(text), self.scores
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if at < 0:
+        symbols, find = list(text), self.scores.get
+        joint = [find(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while joint:
+            best = max(joint)
+            if best == _NEVER:
                 break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            at = joint.index(best)
+            symbols[at] += symbols.pop(at + 1)
+            del joint[at]
+            if at:
+                joint[at - 1] = find(symbols[at - 1] + symbols[at], _NEVER)
+            if at < len(joint):
+                joint[at] = find(symbols[at] + symbols[at + 1], _NEVER)
         return symbols
 
     def fit(self, left: str, right: str) -> bool:
@@ -82,68 +89,72 @@ class PieceModel:
 
     def split(self, part: str) -> list[str]:
         """The pieces of a part by backtracking."""
-        n = len(part)
+        n, fits = len(part), self.fits
         ends: list[list[int]] = [[] for _ in range(n)]
         for last, length in self.automaton.iter(part):
             ends[last + 1 - length].append(last + 1)
-        for at in range(n):
-            if at + 1 not in ends[at]:
-                ends[at].insert(0, at + 1)  # a character without a piece
-        failed, at, pieces, waiting = 0, 0, [""], [list(ends[0])]
+        failed, seen, at, pieces = 0, 0, 0, [""]
         while at < n:
-            options = waiting[-1]
+            # What is left to try here, the longest last; a place is entered again only to go on with it.
+            options, before = ends[at], pieces[-1]
+            if not seen >> at & 1:
+                seen |= 1 << at
+                if not options or options[0] != at + 1:
+                    options.insert(0, at + 1)  # a character without a piece
             while options:
-                end = options.pop()  # the longest of those left
-                if not failed >> end & 1 and self.fit(pieces[-1], part[at:end]):
-                    pieces.append(part[at:end])
+                end = options.pop()
+                piece = part[at:end]
+                fit = fits.get((before, piece))
+                if (self.fit(before, piece) if fit is None else fit) and not failed >> end & 1:
+                    pieces.append(piece)
                     at = end
-                    waiting.append(list(ends[at]) if at < n else [])
                     break
             else:
                 failed |= 1 << at
-                waiting.pop()
                 at -= len(pieces.pop())
         return pieces[1:]
 
-    def encode_part(self, part: str) -> list[int]:
+    def encode_part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
             if len(self.parts) > REMEMBERED:
                 self.parts.clear()
-            known = []
+            ids = []
             for p in self.split(part):
                 found = self.ids.get(p)
                 if found is not None:
-                    known.append(found)
+                    ids.append(found)
                 elif self.has_bytes:
-                    known.extend(self.byte_ids[b] for b in p.encode())
+                    ids.extend(self.byte_ids[b] for b in p.encode())
                 else:
-                    known.append(self.unknown)
-            self.parts[part] = known
+                    ids.append(self.unknown)
+            known = self.parts[part] = array("i", ids).tobytes()
         return known
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """Ids of a stretch of escaped text, cut where no piece reaches across."""
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a stretch of escaped text, as bytes; it is cut where no piece reaches across."""
         known = self.parts.get(chunk)
         if known is not None:
             return known
-        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.pairs]
-        if not cuts:
-            return self.encode_part(chunk)
-        edges = [0, *cuts, len(chunk)]
-        return [i for a, b in zip(edges, edges[1:], strict=False) for i in self.encode_part(chunk[a:b])]
+        pairs, parts = self.pairs, []
+        for unit in _UNITS.findall(chunk):
+            if parts and parts[-1][-1] + unit[0] in pairs:
+                parts[-1] += unit
+            else:
+                parts.append(unit)
+        return self.encode_part(parts[0]) if len(parts) == 1 else b"".join(map(self.encode_part, parts))
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids start (one more entry at the end)."""
-        texts = texts.fill_null("")
+        texts = texts.fill_null("").cast(pa.string())
         words, firsts = chunks_of(texts)
         coded = words.dictionary_encode()
         each = [self.encode_chunk(SPACE + w) for w in coded.dictionary.to_pylist()]
-        counts = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for ids in each for i in ids), np.int32, int(counts.sum()))
+        counts = np.fromiter(map(len, each), np.int64, len(each)) >> 2
+        flat = np.frombuffer(b"".join(each), np.int32)
         index = coded.indices.to_numpy(zero_copy_only=False)
         ids = take_ranges(flat, (np.cumsum(counts) - counts)[index], counts[index])
-        ends = np.concatenate([[0], np.cumsum(counts[index])]) if len(index) else np.zeros(1, np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts[index])])
         return ids, ends[firsts]
 
     def decode_ids(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
@@ -155,6 +166,8 @@ class PieceModel:
         return [raw[a + (raw[a : a + 1] == b" ") if a < b else a : b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
+_NEVER = float("-inf")
+_UNITS = re.compile(r"▁*[^\W\d_]+|.", re.DOTALL)
 _ODD = f"  |{SPACE}|^ "
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
@@ -189,35 +202,43 @@ def model_at(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, decode: bool) -> Iterator[pa.RecordBatch]:
     model = model_at(path)
-    for batch in (part for whole in batches for part in slices(whole, 1)):
+    for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
         ids, starts = model.encode_texts(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))], names=["doc_id", "ids"])
+        columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))]
+        if decode:
+            columns.append(pa.array(model.decode_ids(ids, starts), pa.string()))
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = model_at(path)
     for batch in batches:
-        lists = batch.column(1)
-        starts = lists.offsets.to_numpy().astype(np.int64)
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        texts = model.decode_ids(ids, starts - starts[0])
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+        starts = batch.column(1).offsets.to_numpy().astype(np.int64)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE // 2, side="right")) - 1)
+            own = batch.slice(at, end - at)
+            ids = own.column(1).flatten().to_numpy(zero_copy_only=False)
+            texts = model.decode_ids(ids, starts[at : end + 1] - starts[at])
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+            at = end
 
 
-def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every whole text, without begin or end ids.
+def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """doc_id and ids (array of int) of every whole text, without begin or end ids; with `decode` also `decoded`, the text of these ids.
 
     A null or empty text has no ids. Ids of documents are passed on unchanged, repeated or null ones
     too; further columns are ignored. The model file must be readable at the same path on every machine.
     """
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(partial(_encode, path=model_path), schema)
+    fields = [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return texts.mapInArrow(partial(_encode, path=model_path, decode=decode), T.StructType(fields[: 2 + decode]))
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """Adds `decoded`, the text of each row's ids, to doc_id and ids."""
+    """Adds `decoded`, the text of each row's ids, to doc_id and ids; null ids count as empty."""
     schema = T.StructType([encoded.schema["doc_id"], encoded.schema["ids"], T.StructField("decoded", T.StringType())])
-    return encoded.select("doc_id", "ids").mapInArrow(partial(_decode, path=model_path), schema)
+    some = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return some.mapInArrow(partial(_decode, path=model_path), schema)
