@@ -23,12 +23,12 @@ from oreflow.llm.packed import CELLS, batch_of, cells, gathered, group_sizes, gr
 
 _BASE = 0xA24BAED4963EE407
 _WORDS = Words(BLANK, fold_case=False)
-#: Places that a task holds back to send a document's places together.
+#: Places that a task holds back to send them together.
 HELD = 2_000_000
 
 
 def _windows(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole, 1, 32 << 20)):
+    for batch in (part for whole in batches for part in slices(whole, 1, 8 << 20)):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         hashes, firsts = _WORDS.hashes(*text_buffers(batch.column(1)))
         counts = np.maximum(np.diff(firsts) - width + 1, 0)
@@ -46,16 +46,18 @@ def _windows(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterat
         yield batch_of(rows)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Documents and places of windows that a smaller document has, packed by a hash of the document."""
     held, size = [], 0
 
     def sent() -> pa.RecordBatch:
         docs, places = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(docs, kind="stable")
-        docs, places = docs[order], places[order]
-        starts = group_starts(docs)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(docs)), pa.int32()), pa.array(places, pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(docs[starts], pa.int64()), lists], names=["doc_id", "places"])
+        parts = mix(docs.astype(np.uint64)) >> np.uint64(64 - bits)
+        order = np.lexsort((places, docs, parts))
+        docs, places, parts = docs[order], places[order], parts[order]
+        starts = group_starts(parts)
+        ends = np.append(starts[1:], len(parts))
+        return batch_of([(int(parts[a]), pack(np.zeros(b - a, np.uint64), docs[a:b], places[a:b])) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
 
     for part, payloads in parts_of(batches):
         if part < 0:
@@ -74,17 +76,28 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield sent()
 
 
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, payloads in parts_of(batches):
+        docs, places = (np.concatenate(x) for x in zip(*(unpack(x)[1:] for x in payloads), strict=True))
+        order = np.lexsort((places, docs))
+        docs, places = docs[order], places[order]
+        starts = group_starts(docs)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(docs)), pa.int32()), pa.array(places, pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(docs[starts], pa.int64()), lists], names=["doc_id", "places"])
+
+
 def repeated_windows(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and places (array of int) of the windows of `width` words that also start in a smaller document; a document may have several rows."""
+    """doc_id and places (array of int) of the windows of `width` words that also start in a smaller document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     bits = part_bits(rows, "text", 1 / 6)
     cut = rows.mapInArrow(partial(_windows, width=width, bits=bits), CELLS)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("places", T.ArrayType(T.IntegerType()))])
-    return gathered(cut).mapInArrow(_repeated, schema)
+    by_document = gathered(cut).mapInArrow(partial(_repeated, bits=max(4, bits - 3)), CELLS)
+    return gathered(by_document).mapInArrow(_by_document, schema)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole, 1)):
+    for batch in (part for whole in batches for part in slices(whole, 1, 4 << 20)):
         n_words, n_removed, kept = [], [], []
         for text, places in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
             words = (text or "").encode().split()  # of bytes: at ASCII white space
@@ -109,7 +122,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     with a null id keeps all its words and takes none from others. Rows that share an id count as one
     document: they take nothing from each other, and places found in one are taken from all of them.
     """
-    found = repeated_windows(docs, width, id_col, text_col).groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
+    found = repeated_windows(docs, width, id_col, text_col)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return base.join(found, "doc_id", "left").select("doc_id", "text", "places").mapInArrow(partial(_kept, width=width), schema)
