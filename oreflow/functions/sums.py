@@ -3,21 +3,30 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digits after the point that are kept; finer parts of a value are rounded.
+# Share of a value below which a double cannot tell it from its neighbours.
+_RESOLUTION = 2.0**-52
+# Nine digits after the point are added up as whole numbers, finer parts as they are.
 _FRACTION = 1e9
 
 
 def stable_sum(value: Column) -> Column:
     """Sum of a double column, null when there is nothing to sum.
 
-    Whole and fractional parts are added up on their own, each as integers
-    held in doubles. Such sums are exact (up to 2**53), so task order, retries
-    and partition counts cannot move a total across a rounding boundary. Both
-    parts stay primitive doubles, unlike a wide decimal.
+    Whole parts are added up as integers held in doubles, exact up to 2**53,
+    and nine digits after the point as long integers, so task order, retries
+    and partition counts cannot move a total across a rounding boundary. What
+    is finer is a third, plain sum, unless it is under the resolution of the
+    value itself (0.1 has no finer part, though no double equals it). Infinities
+    and NaN go into the whole part alone.
     """
     whole = F.rint(value)
-    fraction = F.nanvl(F.rint((value - whole) * _FRACTION), F.lit(0.0))
-    return F.sum(whole) + F.sum(fraction) / _FRACTION
+    rest = F.nanvl(value - whole, F.lit(0.0))
+    fraction = F.rint(rest * _FRACTION).cast("bigint")
+    left = rest - fraction / F.lit(_FRACTION)
+    finer = F.when(F.abs(left) > F.abs(value) * _RESOLUTION, left).otherwise(
+        F.when(value.isNotNull(), 0.0)
+    )
+    return F.sum(whole) + F.sum(fraction) / _FRACTION + F.sum(finer)
 
 
 def stable_avg(value: Column) -> Column:

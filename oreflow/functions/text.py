@@ -33,7 +33,9 @@ def quoted(name: str) -> str:
 
 
 def _stripped(sql: str) -> str:
-    return f"btrim({sql}, {_WHITESPACE_SQL})"
+    """Trimming compares with all 29 characters; most texts start and end with a visible ASCII one."""
+    plain = f"{sql} >= '!' AND {sql} < '\\u007f' AND substr({sql}, -1) BETWEEN '!' AND '~'"
+    return f"CASE WHEN {plain} THEN {sql} ELSE btrim({sql}, {_WHITESPACE_SQL}) END"
 
 
 def strip(name: str) -> Column:

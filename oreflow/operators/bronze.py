@@ -25,6 +25,16 @@ LOAD_AUDIT_SCHEMA = StructType(
 )
 
 
+#: Columns that bronze adds, in order.
+METADATA = (
+    "_bronze_load_id",
+    "_ingested_at_utc",
+    "_source_file",
+    "_source_system",
+    "_raw_row_hash",
+)
+
+
 def add_load_metadata(
     df: DataFrame,
     *,

@@ -106,6 +106,17 @@ def quality_gates(
     return reduce(DataFrame.unionByName, rows)
 
 
+def verdict(gates: DataFrame) -> DataFrame:
+    """One row: how many gates there are, which are broken, and whether the run passes."""
+    broken = F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col("gate"))))
+    return gates.agg(F.count(F.lit(1)).alias("gates"), broken.alias("broken")).select(
+        "gates",
+        F.size("broken").cast("bigint").alias("broken_gates"),
+        F.array_join("broken", ", ").alias("broken_names"),
+        F.when(F.size("broken") > 0, "breach").otherwise("passed").alias("run_verdict"),
+    )
+
+
 def enforce(gates: DataFrame, limits: QualityLimits) -> None:
     """Raise on a breach when the limits ask for it. The frame has one row per gate."""
     if not limits.fail_on_breach:

@@ -214,13 +214,19 @@ def product_performance(
 
 
 def reject_summary(rejects: DataFrame) -> DataFrame:
-    """Rule hits per dataset and severity."""
-    severity = F.col("severity")
+    """Rule hits per dataset and severity, from reject records or from counts in ``rule_hits``."""
+    weight = F.col("rule_hits") if "rule_hits" in rejects.columns else F.lit(1)
+
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, weight).otherwise(0)).cast("bigint")
+
+    graded = {
+        f"{grade}_reject_rule_hits": total(F.col("severity") == grade)
+        for grade in ("critical", "high", "medium")
+    }
     return rejects.groupBy("dataset_name").agg(
-        _count().alias("total_reject_rule_hits"),
-        _sum_if(severity == "critical").alias("critical_reject_rule_hits"),
-        _sum_if(severity == "high").alias("high_reject_rule_hits"),
-        _sum_if(severity == "medium").alias("medium_reject_rule_hits"),
+        F.sum(weight).cast("bigint").alias("total_reject_rule_hits"),
+        *[column.alias(name) for name, column in graded.items()],
     )
 
 

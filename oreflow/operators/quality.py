@@ -8,7 +8,14 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from oreflow.functions import is_blank, quoted
 from oreflow.model import CRITICAL, DatasetSpec
@@ -41,11 +48,8 @@ AUDIT_SCHEMA = StructType(
     ]
 )
 
-_JSON_OPTIONS = {
-    "ignoreNullFields": "false",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
-}
+_JSON_OPTIONS = {"ignoreNullFields": "false"}
+_MOMENTS = (TimestampNTZType, TimestampType)
 
 
 def required_rule(column: str) -> str:
@@ -127,26 +131,109 @@ def reject_records(
 ) -> DataFrame:
     """One record per broken rule, with the whole row as JSON.
 
-    Rows are multiplied by the rules they break only, and only those are
-    rendered as JSON.
+    A broken row is rendered once; its text alone is multiplied by the rules.
     """
     columns = payload if payload is not None else data_columns(flagged)
+
+    def shown(name: str) -> Column:
+        """Moments as plain text: a blank before the time, fractions of a second where there are any."""
+        value = F.col(f"`{name}`")
+        is_moment = isinstance(flagged.schema[name].dataType, _MOMENTS)
+        return (value.cast("string") if is_moment else value).alias(name)
+
     severity = F.create_map(*[F.lit(text) for pair in severities(spec).items() for text in pair])
     return (
         flagged.filter(F.col(RULE_HITS) != "")
-        .select("*", F.explode(F.split(RULE_HITS, ",")).alias("rule_name"))
+        .select(
+            F.to_json(F.struct(*[shown(c) for c in columns]), _JSON_OPTIONS).alias(
+                "record_payload_json"
+            ),
+            RULE_HITS,
+        )
+        .select("record_payload_json", F.explode(F.split(RULE_HITS, ",")).alias("rule_name"))
         .select(
             F.lit(spec.name).alias("dataset_name"),
             "rule_name",
             F.element_at(severity, F.col("rule_name")).alias("severity"),
             F.lit(rejected_at).alias("rejected_at_utc"),
-            F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), _JSON_OPTIONS).alias(
-                "record_payload_json"
-            ),
+            "record_payload_json",
         )
     )
 
 
+def parsed_payload(rejects: DataFrame, schema: StructType) -> DataFrame:
+    """Reject records with the rejected row read back from its JSON text."""
+    read = StructType(
+        [
+            StructField(f.name, StringType() if isinstance(f.dataType, _MOMENTS) else f.dataType)
+            for f in schema
+        ]
+    )
+    row = F.from_json("record_payload_json", read).alias("row")
+    return rejects.select("dataset_name", "rule_name", "severity", row).select(
+        "dataset_name",
+        "rule_name",
+        "severity",
+        *[F.col(f"row.`{f.name}`").cast(f.dataType).alias(f.name) for f in schema],
+    )
+
+
+def rule_profile(flagged: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Rows by verdict and set of broken rules: all that audit, dashboard and top rules count.
+
+    Combined before the shuffle; there are at most 2 ** rules sets.
+    """
+    counts = flagged.groupBy(RULE_HITS, ROW_VALID).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(
+        F.lit(spec.name).alias("dataset_name"),
+        F.col(RULE_HITS).alias("broken"),
+        F.col(ROW_VALID).alias("valid"),
+        "rows",
+    )
+
+
+def profile_audit(
+    profile: DataFrame, specs: Iterable[DatasetSpec], processed_at: str
+) -> DataFrame:
+    """The transform audit from the profiles of several datasets, those without rows included."""
+    named = [(spec.name, spec.bronze_table, spec.silver_table) for spec in specs]
+    listed = profile.sparkSession.createDataFrame(
+        named, "dataset_name string, bronze_table string, silver_table string"
+    )
+    hits = F.when(F.col("broken") == "", 0).otherwise(F.size(F.split("broken", ",")))
+    counts = profile.groupBy("dataset_name").agg(
+        F.sum("rows").alias("bronze_row_count"),
+        F.sum(F.when(F.col("valid"), F.col("rows")).otherwise(0)).alias("silver_row_count"),
+        F.sum(hits * F.col("rows")).alias("rejected_rule_hits"),
+    )
+    names = ("bronze_row_count", "silver_row_count", "rejected_rule_hits")
+    return listed.join(counts, "dataset_name", "left").select(
+        "dataset_name",
+        "bronze_table",
+        "silver_table",
+        *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in names],
+        F.lit(processed_at).alias("processed_at_utc"),
+        F.lit("success").alias("status"),
+    )
+
+
+def profile_hits(profile: DataFrame, specs: Iterable[DatasetSpec]) -> DataFrame:
+    """dataset_name, rule_name, severity and rule_hits of every broken rule."""
+    texts = [
+        F.lit(text)
+        for spec in specs
+        for rule, severity in severities(spec).items()
+        for text in (f"{spec.name}.{rule}", severity)
+    ]
+    rules = profile.filter(F.col("broken") != "").select(
+        "dataset_name", F.explode(F.split("broken", ",")).alias("rule_name"), "rows"
+    )
+    counts = rules.groupBy("dataset_name", "rule_name").agg(F.sum("rows").alias("rule_hits"))
+    key = F.concat_ws(".", "dataset_name", "rule_name")
+    severity = F.element_at(F.create_map(*texts), key).alias("severity")
+    return counts.select("dataset_name", "rule_name", severity, "rule_hits")
+
+
 def union_rejects(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
     """All reject records; an empty typed frame when there are none."""
     if not frames:

@@ -80,6 +80,7 @@ def kpis(counts: DataFrame, dashboard: DataFrame, features: DataFrame) -> DataFr
 
 
 def data_quality_display(dashboard: DataFrame) -> DataFrame:
+    # Columns of the display.
     return dashboard.select(
         "dataset_name",
         "bronze_row_count",
@@ -96,6 +97,7 @@ def rule_hits(dashboard: DataFrame) -> DataFrame:
 
 
 def triage_display(triage: DataFrame) -> DataFrame:
+    # Columns of the display.
     return triage.select(
         "issue_id",
         "dataset_name",
@@ -110,6 +112,7 @@ def triage_display(triage: DataFrame) -> DataFrame:
 
 def customer_sample(customer_360: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first customers by id."""
+    # Columns of the display.
     return (
         customer_360.select(
             "customer_id",
@@ -154,6 +157,7 @@ def risk_summary(features: DataFrame) -> DataFrame:
 
 
 def activity_points(features: DataFrame) -> DataFrame:
+    # Columns of the display.
     return features.select(
         "transaction_count",
         "maximum_fraud_risk_score",
@@ -166,6 +170,7 @@ def activity_points(features: DataFrame) -> DataFrame:
 
 def feature_sample(features: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first feature rows by customer id."""
+    # Columns of the display.
     return (
         features.select(
             "customer_id",

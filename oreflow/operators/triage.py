@@ -107,11 +107,13 @@ def recommended_action() -> Column:
 def top_failed_rules(rejects: DataFrame, limit: int = 5) -> DataFrame:
     """The most frequent rules per dataset, rendered as ``rule (n hits)`` in an array.
 
+    Takes reject records, or counts in ``rule_hits``.
+
     The window runs over the counts, one row per dataset and rule.
     """
-    counts = rejects.groupBy("dataset_name", "rule_name").agg(
-        F.count(F.lit(1)).alias("rule_hits")
-    )
+    counted = "rule_hits" in rejects.columns
+    hits = F.sum("rule_hits") if counted else F.count(F.lit(1))
+    counts = rejects.groupBy("dataset_name", "rule_name").agg(hits.alias("rule_hits"))
     order = Window.partitionBy("dataset_name").orderBy(F.desc("rule_hits"), "rule_name")
     text = F.concat("rule_name", F.lit(" ("), F.col("rule_hits").cast("string"), F.lit(" hits)"))
     ranked = counts.withColumn("place", F.row_number().over(order)).filter(
@@ -123,6 +125,7 @@ def top_failed_rules(rejects: DataFrame, limit: int = 5) -> DataFrame:
 
 def ordered_dashboard(dashboard: DataFrame) -> DataFrame:
     """Worst dataset first."""
+    # Columns of the ordered dashboard.
     return dashboard.select(
         "dataset_name",
         "bronze_table",
@@ -179,6 +182,7 @@ def triage_table(dashboard: DataFrame, rejects: DataFrame, created_at: str) -> D
 
 def issue_log(triage: DataFrame) -> DataFrame:
     """The governance view of the triage table."""
+    # Columns of the issue log.
     return triage.select(
         "issue_id",
         "dataset_name",

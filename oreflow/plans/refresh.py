@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from oreflow.model import DatasetSpec, SourceSpec
 from oreflow.operators import bronze, checks, features, gold, quality, standardize, triage
 from oreflow.registry import DATASETS, SOURCES
+from oreflow.session import scratch_scope
 from oreflow.sources.outputs import (
+    BROKEN,
+    BROKEN_RULES,
     OUTCOME,
     PASSED,
+    PATHS,
     UNDECIDED,
-    checked_path,
     load_output,
     output_path,
+    passed_rows,
+    read_checked,
 )
 from oreflow.sources.readers import read_raw
-from oreflow.sources.writers import replace_csv, replace_parquet
+from oreflow.sources.writers import replace_csv, replace_parquet, replace_table
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -51,7 +57,6 @@ def refresh_bronze(
             load_id=load_id,
             ingested_at=run_ts,
             source_system=spec.source_system,
-            source_file=spec.file_name,
         )
         replace_parquet(df, path)
         # Counted from the footers of what was stored: right after retries too.
@@ -73,61 +78,51 @@ def refresh_bronze(
 
 
 def write_checked(flagged: DataFrame, path: str) -> None:
-    """Store a flagged dataset once, by outcome.
+    """Store a flagged dataset once, by outcome, with the broken rules as a column.
 
-    Valid rows, undecided rows and every occurring set of broken rules get a
-    folder each, so one pass yields the silver table, the quarantine and their
-    counts. The number of folders is bounded by the rules, not by the data.
+    One pass yields the silver table, the quarantine and their counts, in at
+    most three files a task. Everything of an earlier run goes, whatever the
+    session says about overwriting partitions.
     """
     outcome = (
         F.when(F.col(quality.ROW_VALID), PASSED)
         .when(F.col(quality.RULE_HITS) == "", UNDECIDED)
-        .otherwise(F.col(quality.RULE_HITS))
+        .otherwise(BROKEN)
     )
+    hits = F.col(quality.RULE_HITS).alias(BROKEN_RULES)
     (
-        flagged.select(*quality.data_columns(flagged), outcome.alias(OUTCOME))
+        flagged.select(*quality.data_columns(flagged), hits, outcome.alias(OUTCOME))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(OUTCOME)
         .parquet(path)
     )
 
 
-def read_checked(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    """All outcomes of a checked dataset; filters on the outcome prune folders."""
-    schema = StructType([*columns.fields, StructField(OUTCOME, StringType())])
-    return spark.read.schema(schema).parquet(path)
-
-
-def passed_rows(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col(OUTCOME) == PASSED).drop(OUTCOME)
-
-
 def stored_rejects(checked: DataFrame, spec: DatasetSpec, rejected_at: str) -> DataFrame:
-    """Reject records from the quarantined folders alone."""
-    hits = F.when(F.col(OUTCOME).isin(PASSED, UNDECIDED), "").otherwise(F.col(OUTCOME))
-    broken = checked.filter(~F.col(OUTCOME).isin(PASSED, UNDECIDED))
-    payload = [name for name in checked.columns if name != OUTCOME]
+    """Reject records from the quarantine folder alone."""
+    broken = checked.filter(F.col(OUTCOME) == BROKEN)
+    payload = [name for name in checked.columns if name not in (OUTCOME, BROKEN_RULES)]
     return quality.reject_records(
-        broken.withColumn(quality.RULE_HITS, hits), spec, rejected_at, payload=payload
+        broken.withColumnRenamed(BROKEN_RULES, quality.RULE_HITS), spec, rejected_at, payload=payload
     )
 
 
 def stored_audit(checked: DataFrame, spec: DatasetSpec, processed_at: str) -> dict:
-    """Audit record of a stored dataset.
-
-    Reads no column, so the counts come from file footers; their number is
-    bounded by the rules of the dataset.
-    """
-    counts = checked.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
-    rows = {row[OUTCOME]: row["n"] for row in counts.collect()}
-    broken = {key: n for key, n in rows.items() if key not in (PASSED, UNDECIDED)}
+    """Audit record of a stored dataset, from its outcome and rule columns; one row is collected."""
+    hits = F.when(F.col(BROKEN_RULES) != "", F.size(F.split(BROKEN_RULES, ","))).otherwise(0)
+    counts = checked.agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count_if(F.col(OUTCOME) == PASSED).alias("passed"),
+        F.coalesce(F.sum(hits), F.lit(0)).alias("hits"),
+    ).first()
     return {
         "dataset_name": spec.name,
         "bronze_table": spec.bronze_table,
         "silver_table": spec.silver_table,
-        "bronze_row_count": sum(rows.values()),
-        "silver_row_count": rows.get(PASSED, 0),
-        "rejected_rule_hits": sum(n * len(key.split(",")) for key, n in broken.items()),
+        "bronze_row_count": counts["all"],
+        "silver_row_count": counts["passed"],
+        "rejected_rule_hits": counts["hits"],
         "processed_at_utc": processed_at,
         "status": "success",
     }
@@ -140,7 +135,7 @@ def refresh_silver(
 
     def check(spec: DatasetSpec) -> tuple[DataFrame, dict]:
         rows = standardize.standardize(load_output(spark, out, spec.bronze_table), run_ts)
-        path = checked_path(out, spec.silver_table)
+        path = output_path(out, spec.silver_table)
         flagged = quality.flag_rules(rows, spec, strict_nulls=strict_nulls, stripped=True)
         write_checked(flagged, path)
         checked = read_checked(spark, path, rows.schema)
@@ -158,7 +153,9 @@ def refresh_silver(
         ],
     )
     replace_parquet(audit.coalesce(1), output_path(out, "silver_transform_audit"))
-    replace_parquet(rejects, output_path(out, "silver_data_quality_rejects"))
+    # Evens out the files of the quarantine, which may be a few rows or very many.
+    even = rejects.hint("rebalance")
+    replace_parquet(even, output_path(out, "silver_data_quality_rejects"))
     return {spec.name: passed_rows(df) for spec, (df, _) in zip(specs, results, strict=True)}
 
 
@@ -231,31 +228,50 @@ def refresh_triage(spark: SparkSession, out: str, *, run_ts: str) -> None:
     )
 
 
+def register(spark: SparkSession, out: str, database: str) -> None:
+    """Replace the tables of a database by the stored outputs, one table for each."""
+
+    def publish(name: str) -> None:
+        replace_table(load_output(spark, out, name), f"{database}.{name}")
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    optional = {"quality_gates", "ai_pipeline_triage_parquet"}
+    _each(spark, publish, [name for name in PATHS if name not in optional])
+
+
 def refresh(
     spark: SparkSession,
     raw: str,
     out: str,
     *,
-    run_ts: str,
-    load_id: str,
+    run_ts: str | None = None,
+    load_id: str | None = None,
     strict_nulls: bool = False,
     limits: checks.QualityLimits | None = None,
+    database: str | None = None,
 ) -> None:
     """Rebuild every table below ``out`` from the files below ``raw``.
 
-    A failing step stops the run. With ``limits`` the gates are measured on
-    bronze after loading and, where asked for, stop the run on a breach.
+    A failing step stops the run. Run time (UTC) and load id are made once where
+    none are given. With ``limits`` the gates are measured on bronze after
+    loading and, where asked for, stop the run on a breach. With ``database``
+    the tables can be queried by name afterwards. Scratch data of the run is
+    deleted at its end.
     """
-    refresh_bronze(spark, raw, out, run_ts=run_ts, load_id=load_id)
-    if limits is not None:
-        rows = {
-            name: standardize.standardize(load_output(spark, out, f"bronze_{name}"), run_ts)
-            for name in ("customers", "transactions", "accounts")
-        }
-        path = output_path(out, "quality_gates")
-        replace_parquet(checks.quality_gates(**rows, limits=limits).coalesce(1), path)
-        checks.enforce(spark.read.parquet(path), limits)
-    silver = refresh_silver(spark, out, run_ts=run_ts, strict_nulls=strict_nulls)
-    refresh_gold(spark, out, silver)
-    refresh_triage(spark, out, run_ts=run_ts)
-
+    run_ts = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+    load_id = load_id or str(uuid.uuid4())
+    with scratch_scope(spark):
+        refresh_bronze(spark, raw, out, run_ts=run_ts, load_id=load_id)
+        if limits is not None:
+            rows = {
+                name: standardize.standardize(load_output(spark, out, f"bronze_{name}"), run_ts)
+                for name in ("customers", "transactions", "accounts")
+            }
+            path = output_path(out, "quality_gates")
+            replace_parquet(checks.quality_gates(**rows, limits=limits).coalesce(1), path)
+            checks.enforce(spark.read.parquet(path), limits)
+        silver = refresh_silver(spark, out, run_ts=run_ts, strict_nulls=strict_nulls)
+        refresh_gold(spark, out, silver)
+        refresh_triage(spark, out, run_ts=run_ts)
+        if database is not None:
+            register(spark, out, database)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+_SCOPE = "oreflow.scratch"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the folder of the running scope, that nothing else uses."""
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    return f"{scope or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch data of the calls inside goes to one folder, which is deleted at the end.
+
+    Frames over such data must have been written elsewhere by then.
+    """
+    context = spark.sparkContext
+    before = context.getLocalProperty(_SCOPE)
+    folder = scratch_path(spark, "run")
+    context.setLocalProperty(_SCOPE, folder)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCOPE, before)
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     LongType,
@@ -12,12 +13,15 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from oreflow.registry import DATASETS
+from oreflow.operators.bronze import METADATA
+from oreflow.operators.standardize import standardize
+from oreflow.registry import DATASETS, SOURCES
 
-# Rows of a checked dataset are stored by outcome: the rows that passed, the
-# rows no rule could decide on, and one folder per set of violated rules.
+# Rows of a checked dataset are stored by outcome: rows that passed, rows no
+# rule could decide on, and rows that broke a rule. The broken rules are a column.
 OUTCOME = "rule_outcome"
-PASSED, UNDECIDED = "passed", "undecided"
+PASSED, UNDECIDED, BROKEN = "passed", "undecided", "broken"
+BROKEN_RULES = "broken_rules"
 
 TRIAGE_SCHEMA = StructType(
     [
@@ -51,10 +55,7 @@ _GOLD = (
 # the row-count report covers.
 LAYERS: dict[str, dict[str, str]] = {
     "bronze": {d.bronze_table: f"bronze/{d.bronze_table}.parquet" for d in DATASETS.values()},
-    "silver": {
-        d.silver_table: f"silver/{d.silver_table}.parquet/{OUTCOME}={PASSED}"
-        for d in DATASETS.values()
-    },
+    "silver": {d.silver_table: f"silver/{d.silver_table}.parquet" for d in DATASETS.values()},
     "gold": {name: f"gold/{name}.parquet" for name in _GOLD},
     "ml_features": {
         "ml_customer_risk_features": "ml_features/ml_customer_risk_features.parquet"
@@ -81,16 +82,29 @@ def output_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{PATHS[table]}"
 
 
-def checked_path(root: str, silver_table: str) -> str:
-    """Root of a checked dataset, all outcomes below it."""
-    return output_path(root, silver_table).rsplit("/", 1)[0]
+def silver_schema(spark: SparkSession, dataset: str) -> StructType:
+    """Columns of a silver table, known without any stored file."""
+    bronze = [*SOURCES[dataset].schema.fields, *[StructField(n, StringType()) for n in METADATA]]
+    empty = spark.createDataFrame([], StructType(bronze))
+    return standardize(empty, "").schema
+
+
+def read_checked(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """All rows of a checked dataset; filters on the outcome prune folders.
+
+    With its schema given the dataset can be read where an outcome, or all, have no row.
+    """
+    kinds = [StructField(BROKEN_RULES, StringType()), StructField(OUTCOME, StringType())]
+    return spark.read.schema(StructType([*columns.fields, *kinds])).parquet(path)
+
+
+def passed_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col(OUTCOME) == PASSED).drop(OUTCOME, BROKEN_RULES)
 
 
 def load_file(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Load a stored table by the suffix of its path."""
     name = path.rstrip("/")
-    if name.endswith(f"/{OUTCOME}={PASSED}"):
-        name = name.rsplit("/", 1)[0]
     if name.endswith(".parquet"):
         return spark.read.parquet(path)
     if name.endswith(".csv"):
@@ -104,7 +118,10 @@ def load_file(spark: SparkSession, path: str, schema: StructType | None = None)
 def load_output(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Load an output table by name; raises FileNotFoundError where it is missing."""
     path = output_path(root, table)
+    dataset = table.removeprefix("silver_")
     try:
+        if table in LAYERS["silver"]:
+            return passed_rows(read_checked(spark, path, silver_schema(spark, dataset)))
         return load_file(spark, path, TRIAGE_SCHEMA if table == "ai_pipeline_triage" else None)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":

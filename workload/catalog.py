@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from oreflow.functions import round_half_away
+from oreflow.functions import round_half_away, stable_avg, stable_sum
 from oreflow.model import DatasetSpec
 from oreflow.operators import (
     bronze,
@@ -24,7 +25,7 @@ from oreflow.operators import (
 )
 from oreflow.plans.refresh import refresh
 from oreflow.registry import DATASETS, SOURCES
-from oreflow.session import scratch_path
+from oreflow.session import scratch_path, staged
 from oreflow.sources import outputs, readers, writers
 from workload.oracles import KEYS, LOAD, TS
 from workload.roles import role, table
@@ -72,27 +73,38 @@ def keyed_rejects(frame: DataFrame, spec: DatasetSpec) -> DataFrame:
     return records.withColumn("record_key", key).drop("record_payload_json")
 
 
-def rejects_of(frames: dict[str, DataFrame]) -> DataFrame:
-    parts = [quality.reject_records(df, DATASETS[name], TS) for name, df in frames.items()]
-    return reduce(DataFrame.unionByName, parts)
+def payloads(frame: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Reject records with the whole row read back out of their JSON text."""
+    columns = T.StructType([frame.schema[name] for name in quality.data_columns(frame)])
+    return quality.parsed_payload(quality.reject_records(frame, spec, TS), columns)
 
 
-def audit_of(frames: dict[str, DataFrame]) -> DataFrame:
-    parts = [quality.transform_audit(df, DATASETS[name], TS) for name, df in frames.items()]
-    return reduce(DataFrame.unionByName, parts)
+def profile_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts by verdict and broken rules of all datasets, from one pass over each; stored once."""
+    parts = [
+        quality.rule_profile(df, DATASETS[name])
+        for name, df in all_flagged(spark, folder).items()
+    ]
+    return staged(reduce(DataFrame.unionByName, parts), "rule-profile")
+
+
+def audit_of(profile: DataFrame) -> DataFrame:
+    return quality.profile_audit(profile, DATASETS.values(), TS)
+
+
+def hits_of(profile: DataFrame) -> DataFrame:
+    return quality.profile_hits(profile, DATASETS.values())
 
 
 def dashboard(spark: SparkSession, folder: str) -> DataFrame:
-    frames = all_flagged(spark, folder)
-    return gold.data_quality_dashboard(audit_of(frames), rejects_of(frames))
+    profile = profile_of(spark, folder)
+    return gold.data_quality_dashboard(audit_of(profile), hits_of(profile))
 
 
 def triage_frame(spark: SparkSession, folder: str) -> DataFrame:
-    frames = all_flagged(spark, folder)
-    rejects = rejects_of(frames)
-    return triage.triage_table(
-        gold.data_quality_dashboard(audit_of(frames), rejects), rejects, TS
-    )
+    profile = profile_of(spark, folder)
+    hits = hits_of(profile)
+    return triage.triage_table(gold.data_quality_dashboard(audit_of(profile), hits), hits, TS)
 
 
 def customer_360(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,7 +146,7 @@ def write_arrays(df: DataFrame, path: str, rows_per_file: int = 500) -> None:
         .groupBy("chunk")
         .agg(F.to_json(F.collect_list("row")).alias("value"))
     )
-    arrays.write.partitionBy("chunk").text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def write_raw_files(spark: SparkSession, folder: str) -> str:
@@ -281,6 +293,23 @@ def bronze_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return customer_metadata(spark, folder)
 
 
+@query
+def bronze_metadata_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of part files: every row names the file it came from."""
+    path = scratch_path(spark, "parts")
+    spec = SOURCES["customers"]
+    writers.replace_csv(raw(spark, folder, "customers").repartition(3), path)
+    rows = bronze.add_load_metadata(
+        readers.read_csv(spark, path, spec.schema),
+        load_id=LOAD,
+        ingested_at=TS,
+        source_system=spec.source_system,
+    )
+    names = [row[0] for row in rows.select("_source_file").distinct().collect()]
+    told = F.col("_source_file").rlike(r"^part-.*\.csv$") & F.lit(len(names) == 3)
+    return rows.select(*spec.schema.names, told.alias("names_its_file"))
+
+
 @query
 def bronze_row_hash(spark: SparkSession, folder: str) -> DataFrame:
     rows = customer_metadata(spark, folder)
@@ -338,6 +367,15 @@ def std_dates(spark: SparkSession, folder: str) -> DataFrame:
     return standardize.coerce_dates(rows)
 
 
+@query
+def std_dates_zoned(spark: SparkSession, folder: str) -> DataFrame:
+    """The same column with a zone on most values: they are taken to UTC."""
+    rows = role(spark, folder, "transactions")
+    zone = F.element_at(F.array(*map(F.lit, ("+05:00", "-0330", "Z", ""))), F.col("transaction_id").cast("int") % 4 + 1)
+    text = F.concat(F.date_format("transaction_timestamp", "yyyy-MM-dd'T'10:mm:ss"), zone)
+    return standardize.coerce_dates(rows.select("transaction_id", text.alias("transaction_timestamp")))
+
+
 @query
 def std_numerics(spark: SparkSession, folder: str) -> DataFrame:
     return standardize.coerce_numbers(
@@ -417,7 +455,13 @@ def val_reject_union(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def val_transform_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return audit_of(all_flagged(spark, folder))
+    return audit_of(profile_of(spark, folder))
+
+
+_per_dataset(
+    "val_reject_payload",
+    lambda spark, folder, name: payloads(flagged(spark, folder, name), DATASETS[name]),
+)
 
 
 # --- gold and features -------------------------------------------------------
@@ -446,6 +490,16 @@ def gold_service_agg(spark: SparkSession, folder: str) -> DataFrame:
     return gold.service_totals(role(spark, folder, "customer_service_notes"))
 
 
+@query
+def gold_fine_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Values with more decimals than sums keep apart: nothing may be lost."""
+    value = F.col("value") / 250 / 7
+    sums = table(spark, folder, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), stable_sum(value).alias("total"), stable_avg(value).alias("mean")
+    )
+    return rounded(sums, total=6, mean=9)
+
+
 @query
 def gold_customer_360(spark: SparkSession, folder: str) -> DataFrame:
     return customer_360(spark, folder)
@@ -469,7 +523,7 @@ def gold_product_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_reject_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.reject_summary(rejects_of(all_flagged(spark, folder)))
+    return gold.reject_summary(hits_of(profile_of(spark, folder)))
 
 
 @query
@@ -539,18 +593,16 @@ def triage_action(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def triage_top_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rules = triage.top_failed_rules(rejects_of(all_flagged(spark, folder)))
+    rules = triage.top_failed_rules(hits_of(profile_of(spark, folder)))
     listed = F.array_join(triage.TOP_RULES, "; ").alias("top_failed_rules")
     return rules.select("dataset_name", listed)
 
 
 @query
 def triage_summary(spark: SparkSession, folder: str) -> DataFrame:
-    frames = all_flagged(spark, folder)
-    rejects = rejects_of(frames)
-    rows = triage.with_top_rules(
-        gold.data_quality_dashboard(audit_of(frames), rejects), rejects
-    )
+    profile = profile_of(spark, folder)
+    hits = hits_of(profile)
+    rows = triage.with_top_rules(gold.data_quality_dashboard(audit_of(profile), hits), hits)
     text = triage.summary(F.col(triage.TOP_RULES)).alias("plain_language_summary")
     return rows.select("dataset_name", text)
 
@@ -573,14 +625,6 @@ def governance_log(spark: SparkSession, folder: str) -> DataFrame:
 # --- reports -----------------------------------------------------------------
 
 
-def medallion_counts(spark: SparkSession, folder: str, frames: dict[str, DataFrame]) -> DataFrame:
-    tables = {("bronze", f"bronze_{name}"): raw(spark, folder, name) for name in DATASETS}
-    tables |= {
-        ("silver", f"silver_{name}"): quality.valid_rows(df) for name, df in frames.items()
-    }
-    return reports.row_counts(tables)
-
-
 @query
 def rpt_layer_counts(spark: SparkSession, folder: str) -> DataFrame:
     return reports.layer_counts(spark, refreshed(spark, folder))
@@ -588,23 +632,15 @@ def rpt_layer_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def rpt_layer_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.layer_summary(
-        medallion_counts(spark, folder, all_flagged(spark, folder))
-    )
+    return reports.layer_summary(reports.layer_counts(spark, refreshed(spark, folder)))
 
 
 @query
 def rpt_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    frames = all_flagged(spark, folder)
-    mart = customer_360(spark, folder)
-    counts = reports.row_counts(
-        {
-            ("silver", "silver_transactions"): quality.valid_rows(frames["transactions"]),
-            ("gold", "gold_customer_360"): mart,
-        }
-    )
-    board = gold.data_quality_dashboard(audit_of(frames), rejects_of(frames))
-    return reports.kpis(counts, board, features.customer_risk_features(mart))
+    out = refreshed(spark, folder)
+    board = outputs.load_output(spark, out, "gold_data_quality_dashboard")
+    risk = outputs.load_output(spark, out, "ml_customer_risk_features")
+    return reports.kpis(reports.layer_counts(spark, out), board, risk)
 
 
 @query
@@ -682,6 +718,16 @@ def gate_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(gates, measured=9)
 
 
+@query
+def gate_verdict(spark: SparkSession, folder: str) -> DataFrame:
+    """What the gates say about the whole run."""
+    return checks.verdict(
+        checks.quality_gates(
+            *(standardized(spark, folder, n) for n in ("customers", "transactions", "accounts"))
+        )
+    )
+
+
 @query
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return outputs.load_output(spark, refreshed(spark, folder), "gold_data_quality_dashboard")
@@ -698,3 +744,16 @@ _refreshed_output("full_refresh_daily_summary", "gold_daily_transaction_summary"
 _refreshed_output("full_refresh_product_performance", "gold_product_performance")
 _refreshed_output("full_refresh_features", "ml_customer_risk_features")
 _refreshed_output("full_refresh_triage", "ai_pipeline_triage")
+_refreshed_output("full_refresh_transform_audit", "silver_transform_audit")
+_refreshed_output("full_refresh_load_audit", "bronze_load_audit")
+_refreshed_output("full_refresh_issue_log", "governance_issue_log")
+
+
+@query
+def full_refresh_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored quarantine, with the key read back out of the payload."""
+    stored = outputs.load_output(spark, refreshed(spark, folder), "silver_data_quality_rejects")
+    keys = F.create_map(*[F.lit(x) for pair in KEYS.items() for x in pair])
+    path = F.concat(F.lit("$."), F.element_at(keys, F.col("dataset_name")))
+    key = F.expr("get_json_object(record_payload_json, path)")
+    return stored.withColumn("path", path).withColumn("record_key", key).drop("path", "record_payload_json")
