@@ -60,7 +60,10 @@ EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-
 IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"
+PHONE = (
+    r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+    r"|\+(?!1\D)\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\.\d))(?![\w-])"
+)
 CARD = r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _TITLE = "(?:" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")\.?[ \u00A0]"
 PERSON = rf"(?<!\w)(?:{_TITLE}){{1,3}}(?P<names>{_NAME}(?: {_NAME}){{0,2}})"
