@@ -15,6 +15,8 @@ need more are exceptions. All numbers are little-endian. The last block is padde
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -36,7 +38,7 @@ PERCENTILE = 0.9
 #: A segment is closed once it holds so many ids; a longer document is a segment of its own.
 SEGMENT_IDS = 1 << 16
 #: Stretches remembered by a Python worker; beyond that it forgets all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 
 def pack_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -53,7 +55,8 @@ def pack_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     least = table.min(axis=1)
     table = table - least[:, None]
     bits = np.frexp(table.astype(np.float64))[1].astype(np.uint8)  # 0 for 0
-    width = np.sort(bits, axis=1)[:, min(BLOCK - 1, int(BLOCK * percentile))]
+    rank = min(BLOCK - 1, int(BLOCK * percentile))
+    width = np.partition(bits, rank, axis=1)[:, rank]
     over = bits > width[:, None]
     exceptions = over.sum(axis=1)
     sizes = 6 + BLOCK // 8 * width.astype(np.int64) + 5 * exceptions
@@ -68,8 +71,8 @@ def pack_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         if w:
-            low = (table[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-            packed = np.packbits(low.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
+            low = np.unpackbits(table[own].astype("<u4").view(np.uint8).reshape(len(own), BLOCK, 4), axis=2, bitorder="little")[:, :, :w]
+            packed = np.packbits(low.reshape(len(own), -1), axis=1, bitorder="little")
             out[at[own][:, None] + 6 + np.arange(packed.shape[1])] = packed
     rows, places = np.nonzero(over)
     if len(rows):
@@ -126,7 +129,14 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        # Stretches of these characters fall into units that the pre-tokenizer finds too, so the
+        # library's model alone can take them; it wants bytes by their printable stand-ins.
+        self.simple = re.compile(" ?[.,;:!?A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?\\nA-Za-zÀ-ÖØ-öø-ÿ]*")
+        self.units = re.compile("\\n| ?[.,;:!?]+| ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        other = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
         self.cut = regex.compile(r" (?=[^\s\x1c-\x1f])")
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -149,23 +159,43 @@ class CachedTokenizer:
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         spaced = coded.dictionary.to_pylist()
         lead_index = np.unique(index[leads])
-        plain = [spaced[i] for i in lead_index.tolist()]
-        each = self._ids([" " + w for w in spaced] + plain)
+        each = self._ids([" " + w for w in spaced] + [spaced[i] for i in lead_index.tolist()])
         place = np.zeros(len(spaced), np.int64)
         place[lead_index] = len(spaced) + np.arange(len(lead_index))
         index = np.where(leads, place[index], index)
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        ids = np.fromiter((i for x in each for i in x), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 2
+        ids = np.frombuffer(b"".join(each), "<u4")
         out = take_ranges(ids, (np.cumsum(sizes) - sizes)[index], sizes[index])
         return out, np.concatenate([[0], np.cumsum(sizes[index])]).astype(np.int64)[firsts]
 
-    def _ids(self, stretches: list[str]) -> list[list[int]]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(dict.fromkeys(s for s in stretches if s not in self.known))
-        for s, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[s] = x.ids
-        return [self.known[s] for s in stretches]
+    def _ids(self, stretches: list[str]) -> list[bytes]:
+        """Ids of each stretch as bytes; those not seen before go to the library together."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = list(map(known.get, stretches))
+        new = [k for k, x in enumerate(found) if x is None]
+        rest = []
+        for k in new:
+            s = stretches[k]
+            if s.isascii() and (s[1:] if s[:1] == " " else s).isalpha():
+                x = known.get(s)
+                found[k] = self._unit(s) if x is None else x
+            elif self.simple.fullmatch(s) and "\n\n" not in s:
+                found[k] = b"".join([known.get(u) or self._unit(u) for u in self.units.findall(s)])
+            else:
+                rest.append(k)
+        texts = list(dict.fromkeys(stretches[k] for k in rest))
+        for s, x in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            known[s] = array("I", x.ids).tobytes()
+        for k in rest:
+            found[k] = known[stretches[k]]
+        return found
+
+    def _unit(self, unit: str) -> bytes:
+        coded = "Ġ" + unit[1:] if unit[0] == " " and unit.isascii() and len(unit) > 1 and unit[1:].isalpha() else "".join(map(self.alphabet.__getitem__, unit.encode()))
+        out = self.known[unit] = array("I", [t.id for t in self.tokenizer.model.tokenize(coded)]).tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -173,7 +203,7 @@ def tokenizer_at(path: str) -> CachedTokenizer:
     return CachedTokenizer(path)
 
 
-def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, segment_ids: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     tokenizer, shard = tokenizer_at(path), TaskContext.get().partitionId()
     segment, before, waiting, held = 0, 0, 0, []
     docs: list = []
@@ -194,14 +224,14 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, id_type: p
 
     end = np.array([end_id], np.uint32)
     for whole in batches:
-        for batch in slices(whole, 1):
+        for batch in slices(whole, 1, 12 << 20):
             ids, starts = tokenizer.encode(batch.column(1))
             for k, doc in enumerate(batch.column(0).to_pylist()):
                 held += [ids[starts[k] : starts[k + 1]], end]
                 docs.append(doc)
                 lengths.append(int(starts[k + 1] - starts[k]) + 1)
                 waiting += lengths[-1]
-                if waiting >= SEGMENT_IDS:
+                if waiting >= segment_ids:
                     yield close()
                     waiting = 0
     if docs:
@@ -213,7 +243,7 @@ SEGMENT_NAMES = ["shard", "segment", "shard_start", "n_ids", "doc_ids", "lengths
 
 def _read(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in (x for k in range(batch.num_rows) for x in batch.slice(k, 1).to_pylist()):
             ids = unpack_ids(row["payload"]).astype("<u4")
             lengths = np.array(row["lengths"], np.int64)
             ends = np.cumsum(lengths)
@@ -222,7 +252,7 @@ def _read(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], id_type), pa.array(row["start"] + ends - lengths), pa.array(lengths), values], names=["doc_id", "start", "n_tokens", "ids_le"])
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> None:
     """Tokenizes every whole text, appends `end_id`, and writes the ids in ascending order of document id.
 
     Documents are dealt by ranges of their id, nulls first; equal ids are ordered by text. A null or
@@ -236,7 +266,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     from pyspark.sql.pandas.types import to_arrow_type
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(partial(_write, path=tokenizer_path, end_id=end_id, id_type=to_arrow_type(kind)), schema).write.parquet(path)
+    rows.mapInArrow(partial(_write, path=tokenizer_path, end_id=end_id, segment_ids=segment_ids, id_type=to_arrow_type(kind)), schema).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
