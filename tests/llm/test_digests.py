@@ -70,10 +70,9 @@ ROWS = [(5, "b c", "x"), (1, None, "x"), (3, "", "x"), (2, "The cat. " * 400, "x
 SCHEMA = "doc_id long, text string, ids string"  # a column named as an output
 
 
-def test_token_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("oreflow.llm.token_files.SEGMENT_IDS", 8)
+def test_token_files(spark, tmp_path):
     docs = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
-    write_token_files(docs, str(tmp_path / "ids"), BYTES)
+    write_token_files(docs, str(tmp_path / "ids"), BYTES, segment_ids=8)
     got = read_token_files(spark, str(tmp_path / "ids")).select("doc_id", "start", "n_tokens", F.crc32("ids_le").alias("crc")).collect()
     library, start, expected = tokenizers.Tokenizer.from_file(BYTES), 0, []
     for doc, text, _ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
