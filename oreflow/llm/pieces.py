@@ -28,7 +28,7 @@ from oreflow.llm.batches import slices, take_ranges
 
 SPACE = "▁"
 #: Parts remembered by a Python worker; beyond that it forgets all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Bytes of text encoded at a time.
 SLICE = 6 << 20
 
