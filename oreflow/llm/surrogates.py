@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import partial
 
@@ -68,8 +69,8 @@ CARD = r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _TITLE = "(?:" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")\.?[ \u00A0]"
 PERSON = rf"(?<!\w)(?:{_TITLE}){{1,3}}(?P<names>{_NAME}(?: {_NAME}){{0,2}})"
 FOUND = re.compile(f"(?P<email>{EMAIL})|(?P<iban>{IBAN})|(?P<ssn>{SSN})|(?P<ip>{IP})|(?P<phone>{PHONE})|(?P<card>{CARD})|(?P<person>{PERSON})")
-#: Texts without any of these have nothing to replace.
-_ANY = r"@|[0-9]{3}|[0-9]\.[0-9]+\.|" + "|".join(f"{t}\\.? " for t in _GENDER)
+#: Texts without any of these have nothing to replace: each alternative of FOUND needs one of them.
+_ANY = r"@|\p{Nd}{3}|\p{Nd}\.\p{Nd}+\.|\+\p{Nd}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|(?:\p{Nd}[ -]?){12}\p{Nd}|" + "|".join(f"{t}\\.?[ \u00A0]" for t in _GENDER)
 
 
 def _luhn(digits: str) -> bool:
@@ -144,7 +145,9 @@ class Keyed:
 
 
 def canonical(kind: str, text: str) -> str:
-    """What makes two spellings one value."""
+    """What makes two spellings one value; digits of all scripts count as their ASCII ones."""
+    if not text.isascii():
+        text = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
     if kind == "email":
         return text.lower()
     if kind == "iban":
@@ -211,7 +214,12 @@ def surrogate(kind: str, value: str, draw: int, keyed: Keyed) -> str:
 
 
 def rendered(kind: str, original: str, value: str) -> str:
-    """A canonical surrogate written the way the original is."""
+    """A canonical surrogate written the way the original is, in its script of digits."""
+    foreign = next((c for c in original if c.isdecimal() and c > "9"), None)
+    if foreign:
+        plain = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in original)
+        zero = ord(foreign) - unicodedata.decimal(foreign)
+        return "".join(chr(zero + int(c)) if "0" <= c <= "9" else c for c in rendered(kind, plain, value))
     if kind in ("ip",):
         return value
     if kind == "phone" and len(re.sub(r"\D", "", original)) == 11 and len(canonical(kind, original)) == 10:

@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,16 @@ def test_clean_texts_stay():
         assert changed(text) == text
 
 
+@pytest.mark.parametrize("text", [
+    "x@y.org", "DE89ABCDEFGH", "DE89 ABCD EFGH", "DE89 3704 0044 0532 0130 00", "123-45-6789", "42.1.2.3", "4.3.2.1", "+1 (632) 555-4827", "(632) 555-4827", "632.555.4827",
+    "+33 1 42 68 53 00", "+49 30 22 73 21 52", "+45 33 12 45 67", "+\u0663\u0663 \u0661 \u0664\u0662 \u0666\u0668 \u0665\u0663 \u0660\u0660", "4111 1111 1111 1111", "41-11 11-11 11-11 11-11",
+    *(f"{t}{dot}{blank}Dupont" for t in surrogates._GENDER for dot in ("", ".") for blank in " \u00a0"),
+])
+def test_no_entity_alone_is_skipped(text):
+    assert surrogates.FOUND.fullmatch(text) and len(surrogates._may(pa.array([text]))) == 1
+    assert changed(text) != text and len(changed(text).split()) == len(text.split())
+
+
 @pytest.mark.parametrize("kind, values", [
     ("ip", [f"42.1.{k // 250}.{k % 250}" for k in range(2000)]),
     ("ssn", [f"{123000000 + 7919 * k}" for k in range(2000)]),
