@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates: keyed, of the same kind and form, distinct, and the same everywhere.
 
 E-mail addresses, phone, card and social-security numbers, IP addresses, bank accounts (IBAN) and
-names after a title are found in every text. A surrogate is a keyed permutation of the values of the
+names after a title, with further mentions of the same names in that text, are found. A surrogate is a keyed permutation of the values of the
 same form (Feistel rounds over a keyed hash), so two different values never get one surrogate by the
 permutation itself: digits stay digits, letters letters of their case and script, check digits are made to
 fit, a title keeps its gender. One value has one surrogate in all documents, whatever the marks it
@@ -55,7 +55,10 @@ SYLLABLES = {
 }
 _GENDER = {t: g for g, names in TITLES.items() for t in names}
 _KNOWN = {n: g for (g, _), names in GIVEN.items() for n in names}
-_NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+# A possessive ending is no part of a name.
+_NAME = r"[^\W\d_]+(?:-[^\W\d_]+|['’](?![sS](?!\w))[^\W\d_]+)*"
+_WORD = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+_CAPITALS = "".join(c for c in map(chr, range(0x110000)) if c.isupper())
 
 EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])"
 IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"
@@ -67,7 +70,8 @@ PHONE = (
 )
 CARD = r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _TITLE = "(?:" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")\.?[ \u00A0]"
-PERSON = rf"(?<!\w)(?:{_TITLE}){{1,3}}(?P<names>{_NAME}(?: {_NAME}){{0,2}})"
+# Words with a capital, up to the next title.
+PERSON = rf"(?<!\w)(?:{_TITLE}){{1,3}}(?P<names>(?=[{_CAPITALS}]){_NAME}(?:[ \u00A0](?!{_TITLE})(?=[{_CAPITALS}]){_NAME})*)"
 FOUND = re.compile(f"(?P<email>{EMAIL})|(?P<iban>{IBAN})|(?P<ssn>{SSN})|(?P<ip>{IP})|(?P<phone>{PHONE})|(?P<card>{CARD})|(?P<person>{PERSON})")
 #: Texts without any of these have nothing to replace: each alternative of FOUND needs one of them.
 _ANY = r"@|\p{Nd}{3}|\p{Nd}\.\p{Nd}+\.|\+\p{Nd}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|(?:\p{Nd}[ -]?){12}\p{Nd}|" + "|".join(f"{t}\\.?[ \u00A0]" for t in _GENDER)
@@ -238,9 +242,45 @@ def rendered(kind: str, original: str, value: str) -> str:
     return value[0].upper() + value[1:] if original[0].isupper() else value
 
 
+def _mentions(text: str, taken: list[tuple[int, int, str]], persons: list[list[tuple[str, str]]]) -> Iterator[tuple[int, int, str]]:
+    """Further mentions of persons, whole or in part, outside of what is taken; a person is a list of (name, kind)."""
+    whole: dict[str, list[tuple[tuple[str, ...], list[str]]]] = {}
+    alone: dict[str, str] = {}
+    for person in sorted(persons, key=len, reverse=True):
+        names = tuple(n for n, _ in person)
+        if len(names) > 1:
+            whole.setdefault(names[0], []).append((names, [k for _, k in person]))
+        for name, kind in person:
+            alone.setdefault(name, kind)
+    edges = [0, *(x for a, b, _ in taken for x in (a, b)), len(text)]
+    for lo, hi in zip(edges[::2], edges[1::2], strict=True):
+        words = [w for w in _WORD.finditer(text, lo, hi) if w[0][0].isupper() or not w[0].isalpha()]
+        k = 0
+        while k < len(words):
+            w = words[k]
+            for names, kinds in whole.get(w[0].lower(), ()):
+                own = words[k : k + len(names)]
+                if w[0][0].isupper() and tuple(x[0].lower() for x in own) == names and all(text[x.end() : y.start()].isspace() for x, y in zip(own, own[1:], strict=False)):
+                    yield from ((x.start(), x.end(), kind) for x, kind in zip(own, kinds, strict=True))
+                    k += len(names)
+                    break
+            else:
+                k += 1
+                if w[0][0].isupper() and w[0].lower() in alone:
+                    yield w.start(), w.end(), alone[w[0].lower()]
+                else:  # of a compound, the parts that are names
+                    for x in re.finditer(r"[^\W\d_]+", w[0]):
+                        if x[0][0].isupper() and x[0].lower() in alone:
+                            yield w.start() + x.start(), w.start() + x.end(), alone[x[0].lower()]
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of what is to be replaced, in order."""
-    out = []
+    """Start, end and kind of what is to be replaced, in order.
+
+    A person named after a title is found again without it, by full name or by any of the names, if
+    written with a capital.
+    """
+    out, people = [], []
     for m in FOUND.finditer(text):
         kind = m.lastgroup if m.lastgroup != "names" else "person"
         if kind == "card" and len(re.sub(r"\D", "", m[0])) < 13:
@@ -250,17 +290,27 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             continue
         at = m.start("names")
         told = [_GENDER[w] for w in re.findall(r"\w+", text[m.start() : at])]
-        gender = next((g for g in told if g != "n"), "n")
-        names = []
-        for w in re.finditer(r"\S+", m["names"]):
-            if not w[0][0].isupper():
-                break
-            names.append((at + w.start(), at + w.end(), w[0]))
+        names = [(at + w.start(), at + w.end(), w[0]) for w in re.finditer(r"\S+", m["names"])]
+        people.append((next((g for g in told if g != "n"), "n"), names))
+    if not people:
+        return out
+    # A title that tells no gender takes that of another mention of the full name.
+    genders = {}
+    for gender, names in people:
+        if gender != "n":
+            genders.setdefault(tuple(n.lower() for *_, n in names), gender)
+    persons = []
+    for gender, names in people:
+        gender = gender if gender != "n" else genders.get(tuple(n.lower() for *_, n in names), "n")
+        person = []
         for k, (a, b, name) in enumerate(names):
             given = k < len(names) - 1 or name in _KNOWN
             own = gender if gender != "n" else _KNOWN.get(name, "n")
-            out.append((a, b, f"given_{own}" if given else "family_n"))
-    return out
+            person.append((name.lower(), f"given_{own}" if given else "family_n"))
+            out.append((a, b, person[-1][1]))
+        persons.append(person)
+    out.sort()
+    return sorted([*out, *_mentions(text, out, persons)])
 
 
 def _may(texts: pa.Array) -> np.ndarray:

@@ -82,6 +82,19 @@ def test_names_keep_gender_script_and_reference():
     assert all(0x400 <= ord(c) < 0x530 for c in m[7]) and surrogates.script_of(m[9].lower()) == "greek"
 
 
+def test_names_without_their_title_are_the_same():
+    out = changed("Mr. Peter Smith met us. Smith then left; Peter Smith signed. SMITH's smith, Smith-like, Smithson, Peter's. smith@x.org")
+    m = re.match(r"Mr\. (\w+) (\w+) met us\. (\w+) then left; (\w+) (\w+) signed\. (\w+)'s smith, (\w+)-like, Smithson, (\w+)'s\. ", out)
+    assert m and m[1] == m[4] == m[8] != "Peter" and m[2] == m[3] == m[5] == m[6].capitalize() == m[7] != "Smith" and m[6].isupper()
+    out = changed("Mr. Juan Carlos Garcia Lopez and Mrs. Jones\u00a0Brown. Carlos, Garcia, Lopez; Jones\nBrown")
+    m = re.match("Mr\\. (\\w+) (\\w+) (\\w+) (\\w+) and Mrs\\. (\\w+)\u00a0(\\w+)\\. (\\w+), (\\w+), (\\w+); (\\w+)\n(\\w+)$", out)
+    assert m and m.groups()[1:4] == m.groups()[6:9] and m.groups()[4:6] == m.groups()[9:] and not re.search("Juan|Carlos|Garcia|Lopez|Jones|Brown", out)
+    # Roles go by the full name where it is given; a lower-case word is no name.
+    out = changed("Mr. Taylor Brown saw Mrs. Anna Taylor. Anna Taylor and Taylor Brown taylor; Dr. Alex Hall is Mr. Alex Hall, Mrs. Ortiz Mr. Hall")
+    m = re.match(r"Mr\. (\w+) (\w+) saw Mrs\. (\w+) (\w+)\. (\w+) (\w+) and (\w+) (\w+) taylor; Dr\. (\w+) (\w+) is Mr\. (\w+) (\w+), Mrs\. (\w+) Mr\. (\w+)$", out)
+    assert m and m[1] == m[7] and m[2] == m[8] and m[3] == m[5] and m[4] == m[6] and (m[9], m[10]) == (m[11], m[12]) and m[14] == m[12] and m[13] != "Ortiz"
+
+
 def test_clean_texts_stay():
     for text in ("version 4.0.1 of 2024-05-06, 12345 items, a@b, M. Night", "Room 12.5.9.9999", "1.2.3.4.5", "order 12-34"):
         assert changed(text) == text
