@@ -39,6 +39,18 @@ def test_added_spans():
     assert [(k, text[a:b]) for k, a, b in spans_of(text)] == [("guess", "x9$Lk2#vQ8z")]
 
 
+@pytest.mark.parametrize("value", ["qzjxkvbwmplytrhd", "QZJXKVBWMPLYTRHD", "8402957316640172", "k9#Vq2!z", "T7v%x2Qp9"])
+def test_cost_decides_for_every_class_and_eight_characters(value):
+    for name in ("passphrase: ", "auth: ", "pwd=", "password: "):
+        assert [text[a:b] for text in (f"the {name}{value} of the server",) for k, a, b in spans_of(text) if k == "guess" or value in text[a:b]][-1].endswith(value)
+
+
+def test_plain_words_are_no_secrets():
+    for value in ("required", "disabled", "authentication", "ENABLED", "yesterday", "horsehorsehorse", "20240115", "12345678", "qwertyuiop", "********", "Winter2023"):
+        assert spans_of(f"auth: {value} pwd: {value}") == []
+    assert spans_of("the thndrezq is here, pwd: thndrezq") == []
+
+
 def test_secret_frames(spark):
     schema = "doc_id long, text string, spans string"
     rows = [(1, None, "x"), (1, "", "x"), (None, "secret=12345678", "x"), (2, "clean " * 50_000 + "token: abcdefgh", "x")]
