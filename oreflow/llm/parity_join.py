@@ -325,6 +325,15 @@ _MET = T.StructType([T.StructField("kind", T.IntegerType()), *[T.StructField(n,
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def _once(placed: DataFrame) -> DataFrame:
+    """key and n of the groups to compare: not yet of one component, and one of those with the same nodes and parity.
+
+    A pair is compared only in a group of the parity of its smaller band, so each parity needs its own.
+    """
+    open_ = placed.groupBy("key", "parity").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")).where("low <> high")
+    return open_.groupBy("n", "sum", "parity").agg(F.min("key").alias("key")).select("key", "n")
+
+
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose sets are alike, among those whose sketches allow it. `texts` has doc_id and text."""
     return _compared(texts, staged(_compared(texts, pairs, True).distinct(), "near"), False)
@@ -412,12 +421,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranked = weak[0].unionByName(weak[1]).withColumn("place", F.row_number().over(rarest)).withColumn("keys", F.count("*").over(Window.partitionBy("node", "parity")))
     asked = ranked.where("place <= keys - greatest(spare, 1) + 1").select("key", "node", "parity")
     placed = staged(asked.join(reached, "node", "left").select("key", "node", "parity", F.coalesce("component", "node").alias("part")), "weak")
-    open_ = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")).where("low <> high")
-    once = open_.groupBy("n", "sum").agg(F.min("key").alias("key"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     units = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
-    spread = placed.join(once.select("key", "n"), "key").withColumn("blocks", blocks).withColumn("block", block).withColumn("unit", units)
+    spread = placed.join(_once(placed), "key").withColumn("blocks", blocks).withColumn("block", block).withColumn("unit", units)
     brief = classes.select(F.col("doc_id").alias("node"), "band", F.col("largest").alias("size"), "sketch")
     rows = spread.join(brief, "node").select("key", F.col("unit.i").alias("i"), F.col("unit.j").alias("j"), "node", "part", "parity", "band", "size", "sketch")
     shared = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near_pairs, _LINKS)

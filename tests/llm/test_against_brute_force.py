@@ -8,7 +8,7 @@ import pytest
 
 from oreflow.llm.contamination import find_passages, remove_passages
 from oreflow.llm.fm_index import FMIndex, suffix_array
-from oreflow.llm.parity_join import near_copies
+from oreflow.llm.parity_join import _once, near_copies
 from oreflow.llm.rules import RULES, START, fit, judge, votes
 from oreflow.llm.substrings import remove_repeats
 
@@ -78,6 +78,28 @@ def test_near_copies(spark, group):  # 2: nearly all groups count as large
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == alike(rows)
 
 
+def test_large_groups_of_the_same_documents_stay_for_each_parity(spark):
+    # Keys 2, 4 and 7 have the same nodes; 9 is one component already.
+    rows = [(key, node, key & 1, node % 2) for key in (2, 4, 7) for node in range(18)] + [(9, node, 1, 5) for node in range(18)]
+    got = _once(spark.createDataFrame(rows, "key long, node long, parity int, part long"))
+    assert sorted(map(tuple, got.collect())) == [(2, 18), (7, 18)]
+
+
+def test_near_copies_of_short_families(spark):  # templates of 5 to 10 shingles, over 16 variants each
+    rng, rows = random.Random(8), []
+    for f in range(12):
+        base = [f"f{f}x{k}" for k in range(rng.randint(9, 14))]
+        for _ in range(24):
+            w = list(base)
+            for _ in range(rng.randint(0, 2)):
+                w[rng.choice([0, len(w) - 1])] = f"f{f}y{rng.randrange(5)}"
+            rows.append(" ".join(w[rng.randint(0, 1) :]))
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    got = near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == alike(rows)
+
+
 def test_near_copies_of_odd_tables(spark):
     schema = "doc_id long, text string, component_id string, a int"
     assert near_copies(spark.createDataFrame([], schema)).count() == 0
