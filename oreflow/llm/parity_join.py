@@ -135,10 +135,13 @@ class Sets:
         odd = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
         return np.packbits(odd.astype(np.uint8)).tobytes()
 
-    def prefixes(self, weak: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def prefixes(self, weak: np.ndarray, lower: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the first shingles of documents weak at a level, as in sketches, and their rows; the last bit is that of the level."""
         counts = np.where(weak, self.sizes - (3 * self.sizes + 3) // 4 + 1, 0)
         keys = mix(take_ranges(self.hashes, self.starts, counts) ^ np.uint64(0x5851F42D4C957F2D))
-        return keys, np.repeat(np.arange(len(counts)), counts)
+        rows = np.repeat(np.arange(len(counts)), counts)
+        level = np.searchsorted(BANDS, self.sizes, side="right") - 1 - lower
+        return (keys & ~np.uint64(1)) | (level[rows] & 1).astype(np.uint64), rows
 
 
 STATS = ["doc_id", "n_shingles", "print", "band", "filled_even", "filled_odd", "spare_even", "spare_odd", "sketch"]
@@ -166,8 +169,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], bits: int, width: int) -> Itera
         leads[order[group_starts(prints)]] = True
         own, own_rows, _, spare = sets.sketches(0)
         below, below_rows, _, spare_below = sets.sketches(1)
-        prefix, prefix_rows = sets.prefixes((spare <= 0) | (spare_below <= 0))
-        keys, rows = np.concatenate([own, below, prefix]), np.concatenate([own_rows, below_rows, prefix_rows])
+        prefix, prefix_rows = sets.prefixes(spare <= 0, 0)
+        lower, lower_rows = sets.prefixes(spare_below <= 0, 1)
+        keys, rows = np.concatenate([own, below, prefix, lower]), np.concatenate([own_rows, below_rows, prefix_rows, lower_rows])
         keys, rows = keys[leads[rows]], rows[leads[rows]]
         keys = ((keys >> np.uint64(64 - width)) & ~np.uint64(1)) | (keys & np.uint64(1))
         order = np.argsort(keys, kind="stable")

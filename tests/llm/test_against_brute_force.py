@@ -4,11 +4,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from oreflow.llm.contamination import find_passages, remove_passages
 from oreflow.llm.fm_index import FMIndex, suffix_array
-from oreflow.llm.parity_join import _once, near_copies
+from oreflow.llm.parity_join import BANDS, Sets, _once, near_copies
 from oreflow.llm.rules import RULES, START, fit, judge, votes
 from oreflow.llm.substrings import remove_repeats
 
@@ -100,6 +102,26 @@ def test_near_copies_of_short_families(spark):  # templates of 5 to 10 shingles,
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == alike(rows)
 
 
+def test_weak_documents_meet_by_prefix_at_the_level_of_the_pair():
+    texts = [" ".join(f"{f}w{k}" for k in range(n)) for f in range(2000) for n in (7, 8, 9)]
+    sets = Sets(pa.array(texts))
+    level = np.searchsorted(BANDS, sets.sizes, side="right") - 1
+    keys = {}
+    for lower in (0, 1):
+        weak = sets.sketches(lower)[3] <= 0
+        for key, row in zip(*(x.tolist() for x in sets.prefixes(weak, lower)), strict=True):
+            assert key & 1 == (level[row] - lower) & 1
+            keys.setdefault((row, int(level[row]) - lower), set()).add(key)
+    met = 0
+    for a in range(len(texts)):
+        for b in range(a // 3 * 3, a):
+            at, own, other = int(min(level[a], level[b])), shingles(texts[a]), shingles(texts[b])
+            if (a, at) in keys and (b, at) in keys and 100 * len(own & other) >= 75 * len(own | other):
+                assert keys[a, at] & keys[b, at]
+                met += 1
+    assert met > 10
+
+
 def test_near_copies_of_odd_tables(spark):
     schema = "doc_id long, text string, component_id string, a int"
     assert near_copies(spark.createDataFrame([], schema)).count() == 0
