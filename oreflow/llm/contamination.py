@@ -111,7 +111,8 @@ def _search(batches: Iterator[pa.RecordBatch], block: Broadcast, last: bool) ->
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str | None]]]:
-    """Items in blocks of at most BLOCK_BYTES of text; a longer item is a block of its own."""
+    """Items, equal rows once, in blocks of at most BLOCK_BYTES of text; a longer item is a block of its own."""
+    items = items.distinct()
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     total = items.agg(F.sum(size)).first()[0] or 0
     n = max(1, math.ceil(total / BLOCK_BYTES))
@@ -122,7 +123,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str | None]]]:
         n *= 2
     for k in range(n):
         rows = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r[0], r[1]) for r in rows.distinct().collect()]
+        yield [(r[0], r[1]) for r in rows.collect()]
 
 
 def find_passages(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

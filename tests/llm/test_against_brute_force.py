@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from oreflow.llm.contamination import find_passages, remove_passages
+from oreflow.llm.contamination import _blocks, find_passages, remove_passages
 from oreflow.llm.fm_index import FMIndex, suffix_array
 from oreflow.llm.parity_join import BANDS, Sets, _once, near_copies
 from oreflow.llm.rules import RULES, START, fit, judge, votes
@@ -231,6 +231,13 @@ def test_passages(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_words, sum(r.spans[1::2]) - sum(r.spans[::2]), r["items"]) for r in got.collect()} == passages(docs, items)
 
 
+def test_repeated_items_count_once(spark, monkeypatch):
+    monkeypatch.setattr("oreflow.llm.contamination.BLOCK_BYTES", 20)
+    rows = [("a", "one two three")] * 9 + [("b", "four five six"), ("a", "seven eight")]
+    blocks = list(_blocks(spark.createDataFrame(rows, "item_id string, text string")))
+    assert sorted(x for block in blocks for x in block) == sorted(set(rows)) and max(map(len, blocks)) == 1
+
+
 def test_passages_go(spark):
     schema = "doc_id long, text string, spans int, items string"
     docs = spark.createDataFrame([(1, "Keep this. A b c d! And that", 1, "x"), (1, None, 1, "x"), (None, "a B c, d", 1, "x"), (2, "clean", 1, "x")], schema)
