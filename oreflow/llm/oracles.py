@@ -85,3 +85,74 @@ links AS (
 SELECT t.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, t.doc_id) AS component_id
 FROM texts t LEFT JOIN sizes USING (doc_id) LEFT JOIN parts USING (doc_id)
 """
+
+SUFFIX_ORDER = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+  SELECT doc_id, since, substr(h, 2 * since + 1, 2798) AS h
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399, 1000)) AS since FROM texts WHERE length(h) >= 800)
+), strings AS (
+  SELECT doc_id, since + pos AS pos, md5(substr(h, 2 * pos - 1, 800)) AS own
+  FROM (SELECT doc_id, since, h, unnest(range(1, length(h) // 2 - 398)) AS pos FROM chunks)
+), twice AS (SELECT own FROM strings GROUP BY own HAVING count(*) > 1),
+hits AS (
+  SELECT doc_id, pos, pos > coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 400, 0) AS first
+  FROM strings SEMI JOIN twice USING (own)
+), spans AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 400 AS b
+  FROM (SELECT *, sum(CAST(first AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM hits)
+  GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS since FROM spans
+), kept AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * since - 1, 2 * (a - since)), '' ORDER BY a) AS before
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 1) - 1))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _assigned(books: str) -> str:
+    """The nearest entry of every part, the lowest at ties, and its distance."""
+    distance = "list_sum(list_transform(list_zip(x.part, y.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""
+  SELECT vec_id, p, any_value(part) AS part, min(far)[2] AS entry, min(far)[1] AS far FROM (
+    SELECT x.vec_id, x.p, x.part, [CAST({distance} AS BIGINT), y.entry] AS far FROM parts x JOIN {books} y ON x.p = y.p
+  ) GROUP BY vec_id, p"""
+
+
+def _moved(coded: str, books: str) -> str:
+    """Floor of the mean of each entry's parts; an entry without a part stays."""
+    return f"""
+  SELECT p, entry, coalesce(new, part) AS part FROM {books} LEFT JOIN (
+    SELECT p, entry, list(mean ORDER BY k) AS new FROM (
+      SELECT p, entry, k, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+      FROM (SELECT p, entry, unnest(part) AS v, unnest(range(len(part))) AS k FROM {coded}) GROUP BY p, entry, k
+    ) GROUP BY p, entry
+  ) USING (p, entry)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS part FROM (SELECT vec_id, v, unnest(range(16)) AS p FROM kept)
+), books0 AS MATERIALIZED (
+  SELECT p, part, entry FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) USING (vec_id) WHERE entry < 64
+), coded0 AS MATERIALIZED ({_assigned("books0")}
+), books1 AS MATERIALIZED ({_moved("coded0", "books0")}
+), coded1 AS MATERIALIZED ({_assigned("books1")}
+), books2 AS MATERIALIZED ({_moved("coded1", "books1")}
+), coded2 AS MATERIALIZED ({_assigned("books2")}
+), codes AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM coded2 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, entry)) AS digest FROM books2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import oracles, passage_attention
+from oreflow.llm.alignment import align_tokens
 from oreflow.llm.contamination import find_passages
 from oreflow.llm.parity_join import near_copies
 from oreflow.llm.pieces import encode_pieces
@@ -16,8 +17,10 @@ from oreflow.llm.preferences import preference_rows, swapped, turns_of
 from oreflow.llm.rules import judge
 from oreflow.llm.secrets import find_secrets
 from oreflow.llm.substrings import remove_repeats
+from oreflow.llm.suffix_dedup import remove_repeated_strings
 from oreflow.llm.surrogates import replace_entities
 from oreflow.llm.token_files import read_token_files, write_token_files
+from oreflow.llm.vector_codes import encode_vectors
 from oreflow.session import scratch_path
 
 
@@ -118,6 +121,20 @@ def substrings(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def suffix_order(spark: SparkSession, folder: str) -> DataFrame:
+    left = remove_repeated_strings(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_vectors(table(spark, folder, "embeddings"))
+    return coded.rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(coded.books_sha256()).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_surrogates": surrogates,
@@ -130,6 +147,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": pieces,
         "op9_passages": passages,
         "op10_substrings": substrings,
+        "op11_alignment": alignment,
+        "op12_suffix_order": suffix_order,
+        "op13_vector_codes": vector_codes,
     }
 
 
@@ -140,4 +160,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_parity_join": oracles.PARITY_JOIN,
         "op9_passages": oracles.PASSAGES,
         "op10_substrings": oracles.SUBSTRINGS,
+        "op12_suffix_order": oracles.SUFFIX_ORDER,
+        "op13_vector_codes": oracles.VECTOR_CODES,
     }
