@@ -93,7 +93,8 @@ class Stretches:
             run = np.diff(np.append(first, len(inside)))
             starts, row, anchor = inside[first], row[first], anchor[first]
             whole = _stretch_hashes(sums, inverse, starts, run + length - 1)
-            found.append((row, starts + low - offsets[row], run, grams[anchor], whole))
+            # Least hashes are small; mixed again they spread over all parts.
+            found.append((row, starts + low - offsets[row], run, mix(grams[anchor]), whole))
         empty = [np.empty(0, np.int64)] * 3 + [np.empty(0, np.uint64)] * 2
         self.row, self.place, self.run, self.key, self.whole = (np.concatenate(x) for x in zip(*found, strict=True)) if found else empty
 
@@ -258,7 +259,7 @@ def _texts(batches: Iterator[pa.RecordBatch], length: int, bits: int) -> Iterato
         for k in own.tolist():
             text = data[begin[k] : begin[k] + run[k] + length - 1]
             # The minimizer of all the stretch's strings is that of its first.
-            key = int(mix(rolling(_CODES[text[:length]], gram, _GRAM)).min())
+            key = int(mix(mix(rolling(_CODES[text[:length]], gram, _GRAM)).min(keepdims=True))[0])
             units.setdefault(key >> (64 - bits), []).append((key, int(rows[owner[k]]), int(place[k]), int(run[k]), int(many[k]), text.tobytes()))
         for part, held in units.items():
             head = np.array([x[:1] for x in held], np.uint64).tobytes() + np.array([x[1:5] for x in held], np.int64).tobytes()
