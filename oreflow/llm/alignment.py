@@ -12,7 +12,7 @@ them up (per salt first), find the highest count of each B id, and answer each s
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 from functools import partial
 from itertools import chain
@@ -32,16 +32,18 @@ from oreflow.session import staged
 
 SPACE = "▁"
 #: Bytes of text aligned together.
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: Most parts that the B ids are dealt to: with 50,000 by 32,000 ids a part has at most 2 million pairs.
 PARTS_LOG = 10
 #: Slices that one task answers for one part.
 SLICES_A_SALT = 512
 #: Sums of pairs held before they are added up.
 HELD = 4_000_000
-#: Bytes of stretches remembered by a task, and the longest stretch that is.
-REMEMBERED_BYTES = 24 << 20
-REMEMBERED_LENGTH = 64
+#: Words that the tokenizers get at a time.
+TOGETHER = 10_000
+
+# Fixed value: the pattern that byte-level BPE cuts texts with.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _SPREAD = 0x9E3779B1  # odd, so that id -> id * _SPREAD modulo 2**32 can be undone
 
@@ -72,49 +74,72 @@ class TokenizerPair:
     """Tokenizer A (byte-level, over a space and the text) and B (pieces, which adds the space itself)."""
 
     def __init__(self, byte_path: str, piece_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(byte_path)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
+        self.a = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks_of(byte_path), special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        stands = _surface_of_bytes()
-        entries = self.a.get_vocab(with_added_tokens=True)
-        surfaces = [b""] * (max(entries.values()) + 1)
-        for text, i in entries.items():
-            surfaces[i] = bytes(map(stands.__getitem__, text)) if all(c in stands for c in text) else text.encode()
-        self.a_bytes = surfaces
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece holds a space after another character: texts can't be cut at spaces")
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.decimals = _Decimals(max(len(self.a_bytes), len(self.b_bytes)))
-        self.known: dict[str, tuple] = {}
-        self.known_bytes = 0
-
-    def encoded(self, stretches: list[str]) -> list[tuple | None]:
-        """(A ids, B ids) of each stretch, None where joined tokens are not the stretch."""
-        known = self.known
-        missing = [s for s in stretches if s not in known]
-        own: dict[str, tuple | None] = {}
-        if missing:
-            of_a = self.a.encode_batch_fast(missing, add_special_tokens=False)
-            of_b = self.b.encode([s[1:] for s in missing], num_threads=1)
-            for s, x, b in zip(missing, of_a, of_b, strict=True):
-                a, raw = x.ids, s.encode()
-                same = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-                own[s] = found = (a, b) if same else None
-                if len(s) <= REMEMBERED_LENGTH:
-                    self.known_bytes += 300 + 32 * (len(a) + len(b))
-                    known[s] = found
-        out = [own[s] if s in own else known[s] for s in stretches]
-        if self.known_bytes > REMEMBERED_BYTES:
-            known.clear()
-            self.known_bytes = 0
-        return out
+        surfaces = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes = np.array([len(self.a.decode_single_token_bytes(i)) for i in range(self.a.n_vocab)], np.int64)
+        self.b_sizes = np.array([len(x) for x in surfaces], np.int64)
+        self.b_starts = np.cumsum(self.b_sizes) - self.b_sizes
+        self.b_data = np.frombuffer(b"".join(surfaces), np.uint8)
+        self.decimals = _Decimals(max(len(self.a_sizes), len(self.b_sizes)))
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """A ids, their number in each word (a space and the word), B ids, their number; no ids where tokens are not the word.
+
+        Words start and end without white space, so one call of A takes many of them, joined by spaces.
+        """
+        raw = (" " + " ".join(words)).encode()
+        sizes = np.array([len(w.encode()) + 1 for w in words], np.int64)
+        ends = np.cumsum(sizes)
+        a = np.array(self.a.encode_ordinary(raw.decode()), np.int64)
+        n_a = np.diff(np.searchsorted(np.cumsum(self.a_sizes[a]), ends, side="right"), prepend=0)
+        lists = self.b.encode(words, num_threads=1)
+        n_b = np.fromiter(map(len, lists), np.int64, len(lists))
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(n_b.sum()))
+        surface = take_ranges(self.b_data, self.b_starts[b], self.b_sizes[b]).tobytes()
+        if surface != raw:
+            owner = np.repeat(np.arange(len(words)), n_b)
+            reach = _ranges_of(np.bincount(owner, weights=self.b_sizes[b], minlength=len(words)).astype(np.int64)).tolist()
+            good = np.array([surface[x:y] == raw[e - n : e] for x, y, e, n in zip(reach, reach[1:], ends.tolist(), sizes.tolist(), strict=False)], bool)
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
+        return a, n_a, b, n_b
+
+    def encoded_all(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """The same for any words, in runs of some thousands; those with white space at an end go alone."""
+        found, held = [], []
+        for word in words:
+            alone = not word or word[0].isspace() or word[-1].isspace()
+            if held and (alone or len(held) >= TOGETHER):
+                found.append(self.encoded(held))
+                held = []
+            if alone:
+                found.append(self.encoded([word]))
+            else:
+                held.append(word)
+        if held:
+            found.append(self.encoded(held))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 4
+
+
+def ranks_of(path: str) -> dict[bytes, int]:
+    """Bytes and id of every entry of a byte-level BPE file, whose ids must follow its merges."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    cut = model["pre_tokenizer"]
+    if cut["type"] != "ByteLevel" or not cut.get("use_regex", True) or model["normalizer"] is not None:
+        raise ValueError("not a byte-level tokenizer with its usual pattern")
+    entries, stands = model["model"]["vocab"], _surface_of_bytes()
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["model"]["merges"]]
+    if [entries[m] for m in merges] != list(range(256, 256 + len(merges))):
+        raise ValueError("ids do not follow the merges")
+    return {bytes(map(stands.__getitem__, text)): i for text, i in entries.items() if i < 256 + len(merges)}
 
 
 #: Where both tokenizers start anew inside a space and a text.
@@ -175,24 +200,33 @@ def _ranges_of(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on at the fewest bytes, all lowest bytes first: upper ones compress well."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    n = (len(raw) - 1) // raw[0]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : raw[0]] = np.frombuffer(raw, np.uint8, -1, 1).reshape(raw[0], n).T
+    return out.view("<i8")[:, 0]
+
+
 class _Aligned:
     """Everything that the distinct stretches of a slice need: numbers of tokens, groups and links, texts of groups."""
 
-    def __init__(self, pair: TokenizerPair, stretches: list[str]):
-        found = pair.encoded(stretches)
-        self.good = np.array([x is not None for x in found], bool)
-        self.n_a = np.array([len(x[0]) if x else 0 for x in found], np.int64)
-        self.n_b = np.array([len(x[1]) if x else 0 for x in found], np.int64)
-        a = np.fromiter(chain.from_iterable(x[0] for x in found if x), np.int64, int(self.n_a.sum()))
-        b = np.fromiter(chain.from_iterable(x[1] for x in found if x), np.int64, int(self.n_b.sum()))
+    def __init__(self, pair: TokenizerPair, words: list[str]):
+        a, self.n_a, b, self.n_b = pair.encoded_all(words)
+        self.good = self.n_a > 0
         a_ends, b_ends = np.cumsum(pair.a_sizes[a]), np.cumsum(pair.b_sizes[b])
         of_a, of_b = groups_of(a_ends, b_ends) if len(a) else (a, b)
         at_a, at_b, _ = links_of(a_ends, b_ends) if len(a) else (a, b, a)
-        owner_b = np.repeat(np.arange(len(found)), self.n_b)
+        owner_b = np.repeat(np.arange(len(words)), self.n_b)
         last = np.flatnonzero(np.append(of_b[1:] != of_b[:-1], True)) if len(b) else b
-        self.n_groups = np.bincount(owner_b[last], minlength=len(found))
+        self.n_groups = np.bincount(owner_b[last], minlength=len(words))
         self.link_owner = owner_b[at_b]
-        self.n_links = np.bincount(self.link_owner, minlength=len(found))
+        self.n_links = np.bincount(self.link_owner, minlength=len(words))
         self.link_keys = pair_keys(a[at_a], b[at_b])
         self._texts(pair.decimals, a, b, of_a, of_b)
 
@@ -227,7 +261,12 @@ def _slice_row(number: int, batch: pa.RecordBatch, pair: TokenizerPair) -> dict:
     words, firsts = _stretches(texts)
     coded = words.dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    aligned = _Aligned(pair, [" " + w for w in coded.dictionary.to_pylist()])
+    # Frequent stretches get small numbers.
+    by_use = np.argsort(-np.bincount(index, minlength=len(coded.dictionary)), kind="stable")
+    number_of = np.empty(len(by_use), np.int64)
+    number_of[by_use] = np.arange(len(by_use))
+    index = number_of[index]
+    aligned = _Aligned(pair, coded.dictionary.take(pa.array(by_use)).to_pylist())
     counts = np.diff(firsts)
     doc = np.repeat(np.arange(len(texts)), counts)
     whole = np.bincount(doc, weights=~aligned.good[index], minlength=len(texts)) == 0
@@ -247,8 +286,7 @@ def _slice_row(number: int, batch: pa.RecordBatch, pair: TokenizerPair) -> dict:
     sums = {name: np.diff(np.concatenate([[0], np.cumsum(getattr(aligned, name)[index])])[firsts], prepend=0)[1:] for name in _NUMBERS}
     return {
         "slice": number, "ids": batch.column(0).to_pylist(), "digests": digests, **{name: sums[name].tolist() for name in _NUMBERS},
-        "n_stretches": counts.astype("<i4").tobytes(), "stretches": index.astype("<i4").tobytes(),
-        "stretch_links": per_link.astype("<i4").tobytes(), "links": inverse.astype("<i4").tobytes(), "pairs": pack(keys, totals, np.zeros(len(keys), np.int64)),
+        "n_stretches": _planes(counts), "stretches": _planes(index), "stretch_links": _planes(per_link), "links": _planes(inverse), "pairs": pack(keys, totals, np.zeros(len(keys), np.int64)),
     }
 
 
@@ -315,7 +353,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 best = totals == np.repeat(np.maximum.reduceat(totals, starts), np.diff(np.append(starts, len(keys))))
             else:
                 at = np.searchsorted(keys, asked)
-                out.append((number, part, totals[at].astype("<i8").tobytes() + best[at].astype(np.uint8).tobytes()))
+                out.append((number, part, _planes(totals[at] << 1 | best[at])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["slice", "part", "answer"])
 
@@ -326,16 +364,13 @@ def _closed(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa
         for k in range(batch.num_rows):
             row = batch.slice(k, 1).to_pylist()[0]
             answers = [x["answer"] for x in sorted(row["answers"] or (), key=lambda x: x["part"])]
-            sizes = [len(x) // 9 for x in answers]
-            counts = np.concatenate([np.frombuffer(x, "<i8", n) for x, n in zip(answers, sizes, strict=True)] or [np.empty(0, np.int64)])
-            best = np.concatenate([np.frombuffer(x, np.uint8, n, 8 * n) for x, n in zip(answers, sizes, strict=True)] or [np.empty(0, np.uint8)])
-            links = np.frombuffer(row["links"], "<i4")
-            ends = _ranges_of(np.frombuffer(row["stretch_links"], "<i4"))
-            stretches = np.frombuffer(row["stretches"], "<i4")
-            firsts = _ranges_of(np.frombuffer(row["n_stretches"], "<i4"))
+            told = np.concatenate([_numbers(x) for x in answers] or [np.empty(0, np.int64)])
+            counts, best = told >> 1, told & 1
+            links, stretches = _numbers(row["links"]), _numbers(row["stretches"])
+            ends, firsts = _ranges_of(_numbers(row["stretch_links"])), _ranges_of(_numbers(row["n_stretches"]))
             out = {"doc_id": row["ids"], **{name: row[name] for name in _NUMBERS}}
             for name, values in (("n_best", best), ("count_sum", counts)):
-                each = np.diff(_ranges_of(values[links].astype(np.int64))[ends])
+                each = np.diff(_ranges_of(values[links])[ends])
                 out[name] = np.diff(_ranges_of(each[stretches])[firsts])
             out["groups_sha256"] = row["digests"]
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
