@@ -100,11 +100,14 @@ def unpack_ids(payload: bytes, first: int = 0, count: int | None = None) -> np.n
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         if w:
-            packed = raw[at[own][:, None] + 6 + np.arange(BLOCK // 8 * int(w))]
-            low = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(own), BLOCK, int(w))
-            padded = np.zeros((len(own), BLOCK, 32), np.uint8)
-            padded[:, :, : int(w)] = low
-            table[own] = np.packbits(padded, axis=2, bitorder="little").view("<u4")[:, :, 0]
+            packed = np.zeros((len(own), BLOCK // 8 * int(w) + 5), np.uint64)
+            packed[:, :-5] = raw[at[own][:, None] + 6 + np.arange(BLOCK // 8 * int(w))]
+            bit = np.arange(BLOCK) * int(w)
+            # A value lies in at most five bytes.
+            joint = packed[:, bit >> 3]
+            for k in range(1, (int(w) + 14) // 8):
+                joint |= packed[:, (bit >> 3) + k] << np.uint64(8 * k)
+            table[own] = joint >> (bit & 7).astype(np.uint64) & np.uint64((1 << int(w)) - 1)
     if exceptions.any():
         rows = np.repeat(np.arange(len(at)), exceptions)
         rank = np.arange(len(rows)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
@@ -243,13 +246,16 @@ SEGMENT_NAMES = ["shard", "segment", "shard_start", "n_ids", "doc_ids", "lengths
 
 def _read(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in (x for k in range(batch.num_rows) for x in batch.slice(k, 1).to_pylist()):
-            ids = unpack_ids(row["payload"]).astype("<u4")
-            lengths = np.array(row["lengths"], np.int64)
+        for k in range(batch.num_rows):
+            docs, own, payload, start = (batch.column(c)[k] for c in range(4))
+            ids = unpack_ids(payload.as_py()).astype("<u4")
+            lengths = own.values.to_numpy()
             ends = np.cumsum(lengths)
-            raw = ids.tobytes()
-            values = pa.array([raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], id_type), pa.array(row["start"] + ends - lengths), pa.array(lengths), values], names=["doc_id", "start", "n_tokens", "ids_le"])
+            # The ids stay one buffer, which the documents' offsets cut.
+            offsets = np.concatenate([[0], 4 * ends]).astype(np.int64)
+            values = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            columns = [docs.values.cast(id_type), pa.array(start.as_py() + ends - lengths), pa.array(lengths), values.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_le"])
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> None:
