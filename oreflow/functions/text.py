@@ -19,7 +19,7 @@ NA_TOKENS = (
 
 
 # The same characters as a SQL literal.
-_WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
 _NA_SQL = ", ".join(f"'{token}'" for token in NA_TOKENS)
 
 
@@ -32,10 +32,10 @@ def quoted(name: str) -> str:
 # columns, building them function by function costs more than small jobs take.
 
 
-def _stripped(sql: str) -> str:
+def stripped_sql(sql: str) -> str:
     """Trimming compares with all 29 characters; most texts start and end with a visible ASCII one."""
     plain = f"{sql} >= '!' AND {sql} < '\\u007f' AND substr({sql}, -1) BETWEEN '!' AND '~'"
-    return f"CASE WHEN {plain} THEN {sql} ELSE btrim({sql}, {_WHITESPACE_SQL}) END"
+    return f"CASE WHEN {plain} THEN {sql} ELSE btrim({sql}, {WHITESPACE_SQL}) END"
 
 
 def strip(name: str) -> Column:
@@ -43,18 +43,18 @@ def strip(name: str) -> Column:
 
     Spark's one-argument ``trim`` removes blanks only.
     """
-    return F.expr(_stripped(quoted(name)))
+    return F.expr(stripped_sql(quoted(name)))
 
 
 def fold_case(name: str) -> Column:
     """Stripped and lower-cased."""
-    return F.expr(f"lower({_stripped(quoted(name))})")
+    return F.expr(f"lower({stripped_sql(quoted(name))})")
 
 
 def is_blank(name: str, *, stripped: bool = False) -> Column:
     """True for null and for text that is empty after stripping; never null."""
     column = quoted(name)
-    return F.expr(f"{column} IS NULL OR {column if stripped else _stripped(column)} = ''")
+    return F.expr(f"{column} IS NULL OR {column if stripped else stripped_sql(column)} = ''")
 
 
 def null_if_na(name: str) -> Column:

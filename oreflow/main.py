@@ -20,6 +20,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--run-ts", help="run time as text, now in UTC by default")
     parser.add_argument("--load-id", help="id of the load, made up by default")
     parser.add_argument("--strict-nulls", action="store_true", help="reject undecided rows")
+    parser.add_argument("--date-layouts", action="store_true", help="read dates in the layouts people write")
     parser.add_argument("--gates", action="store_true", help="measure the quality gates")
     parser.add_argument("--fail-on-breach", action="store_true", help="stop on a broken gate")
     given = parser.parse_args(arguments)
@@ -31,6 +32,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         run_ts=given.run_ts,
         load_id=given.load_id,
         strict_nulls=given.strict_nulls,
+        date_layouts=given.date_layouts,
         limits=QualityLimits(fail_on_breach=given.fail_on_breach) if measured else None,
         database=given.database,
     )

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from oreflow.functions import row_hash
+from oreflow.functions import quoted, row_hash
+from oreflow.sources.readers import READ_FROM
 
 LOAD_AUDIT_SCHEMA = StructType(
     [
@@ -48,9 +49,12 @@ def add_load_metadata(
     Without ``source_file`` each row names the file it was read from, which
     is what a folder of part files needs.
     """
-    file_name = F.lit(source_file) if source_file else F.col("_metadata.file_name")
+    # Readers that put files together, or read one in ranges, name the file in a column.
+    told = READ_FROM in df.columns
+    read_from = F.element_at(F.split(READ_FROM, "/"), -1) if told else F.col("_metadata.file_name")
+    file_name = F.lit(source_file) if source_file else read_from
     return df.select(
-        "*",
+        *[F.col(quoted(name)) for name in df.columns if name != READ_FROM],
         F.lit(load_id).alias("_bronze_load_id"),
         F.lit(ingested_at).alias("_ingested_at_utc"),
         file_name.alias("_source_file"),

@@ -43,10 +43,6 @@ class QualityBreach(RuntimeError):
     """Raised when data exceeds its limits and the limits say so."""
 
 
-def _share(condition: Column) -> Column:
-    return F.avg(F.when(condition, 1.0).otherwise(0.0)).alias("measured")
-
-
 def quality_gates(
     customers: DataFrame,
     transactions: DataFrame,
@@ -57,53 +53,54 @@ def quality_gates(
 
     Expects standardised bronze rows. Empty input measures null and passes.
     """
+    # Completeness and duplicates of transactions both follow from the rows per key.
     copies = transactions.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("copies"))
-    duplicates = copies.agg(
+    share = [
         F.try_divide(
-            F.sum(F.when(F.col("copies") > 1, F.col("copies")).otherwise(0)).cast("double"),
+            F.sum(F.when(condition, F.col("copies")).otherwise(0)).cast("double"),
             F.sum("copies").cast("double"),
-        ).alias("measured")
-    )
-    balance = accounts.filter(F.col("current_balance").isNotNull())
-    gates = [
-        (
-            "customer_id_completeness",
-            customers.agg(_share(F.col("customer_id").isNotNull())),
-            limits.minimum_customer_id_completeness,
-            True,
-        ),
-        (
-            "transaction_id_completeness",
-            transactions.agg(_share(F.col("transaction_id").isNotNull())),
-            limits.minimum_transaction_id_completeness,
-            True,
-        ),
-        (
-            "duplicate_transaction_rate",
-            duplicates,
-            limits.maximum_duplicate_transaction_rate,
-            False,
-        ),
-        (
-            "negative_balance_rate",
-            balance.agg(_share(F.col("current_balance") < 0)),
-            limits.maximum_negative_balance_rate,
-            False,
-        ),
+        )
+        for condition in (F.col("transaction_id").isNotNull(), F.col("copies") > 1)
     ]
-    rows = []
-    for name, measured, limit, is_minimum in gates:
-        value = F.col("measured")
-        met = value >= limit if is_minimum else value <= limit
-        rows.append(
-            measured.select(
-                F.lit(name).alias("gate"),
-                "measured",
-                F.lit(limit).alias("gate_limit"),
-                F.coalesce(met, F.lit(True)).alias("passed"),
-            )
+    balance = F.col("current_balance")
+    # Rows without a balance do not count. No filter: the value is read once.
+    negative = F.avg(F.when(balance < 0, 1.0).when(balance.isNotNull(), 0.0))
+    measured = {
+        "customer_id_completeness": F.avg(
+            F.when(F.col("customer_id").isNotNull(), 1.0).otherwise(0.0)
+        ),
+        "transaction_id_completeness": share[0],
+        "duplicate_transaction_rate": share[1],
+        "negative_balance_rate": negative,
+    }
+    tables = {
+        "customer_id_completeness": customers,
+        "transaction_id_completeness": copies,
+        "negative_balance_rate": accounts,
+    }
+    limit = {
+        "customer_id_completeness": (limits.minimum_customer_id_completeness, True),
+        "transaction_id_completeness": (limits.minimum_transaction_id_completeness, True),
+        "duplicate_transaction_rate": (limits.maximum_duplicate_transaction_rate, False),
+        "negative_balance_rate": (limits.maximum_negative_balance_rate, False),
+    }
+
+    def judged(name: str) -> Column:
+        value, (bound, is_minimum) = F.col(name), limit[name]
+        met = value >= bound if is_minimum else value <= bound
+        return F.struct(
+            F.lit(name).alias("gate"),
+            value.alias("measured"),
+            F.lit(bound).alias("gate_limit"),
+            F.coalesce(met, F.lit(True)).alias("passed"),
         )
-    return reduce(DataFrame.unionByName, rows)
+
+    frames = []
+    for first, table in tables.items():
+        names = [first, "duplicate_transaction_rate"] if table is copies else [first]
+        one_row = table.agg(*[measured[name].alias(name) for name in names])
+        frames.append(one_row.select(F.inline(F.array(*map(judged, names)))))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def verdict(gates: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from oreflow.functions import fold_case, quoted, strip, to_boolean, to_double, to_ntz
+from oreflow.functions.layouts import Layouts, count_layouts, settle_layouts, to_moment
 
 # The columns each cleaning step applies to, where present.
 DATE_COLUMNS = (
@@ -52,8 +53,20 @@ def trim_text(df: DataFrame) -> DataFrame:
     return _rewrite(df, [c for c in _text_columns(df) if not c.startswith("_")], strip)
 
 
-def coerce_dates(df: DataFrame, names: Sequence[str] = DATE_COLUMNS) -> DataFrame:
-    return _rewrite(df, names, to_ntz)
+def coerce_dates(
+    df: DataFrame, names: Sequence[str] = DATE_COLUMNS, layouts: Layouts | None = None
+) -> DataFrame:
+    """Zone-less timestamps; with `layouts` also of dates in the layouts people write."""
+    if layouts is None:
+        return _rewrite(df, names, to_ntz)
+    return _rewrite(df, names, lambda name: to_moment(name, layouts))
+
+
+def date_layouts(df: DataFrame) -> Layouts:
+    """Layouts of a dataset's date columns, from one scan of them; a few rows are collected."""
+    named = normalize_headers(df)
+    present = [name for name in DATE_COLUMNS if name in named.columns]
+    return settle_layouts(count_layouts(named, present)) if present else Layouts()
 
 
 def coerce_numbers(df: DataFrame, names: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -82,15 +95,36 @@ def stamp(df: DataFrame, processed_at: str) -> DataFrame:
     return df.withColumn("_silver_processed_at_utc", F.lit(processed_at))
 
 
-def standardize(df: DataFrame, processed_at: str) -> DataFrame:
-    """All steps in order; each skips the columns a dataset does not have."""
+def _settled(df: DataFrame, as_they_were: Sequence[str]) -> DataFrame:
+    """The same rows, whose cleaned values filters and later steps take as they are.
+
+    Pushed below the cleaning, a filter would clean and parse a value again at each
+    mention. The condition is always true, but not to the optimizer.
+    """
+    here = F.spark_partition_id() >= 0
+    return df.select(
+        *[
+            F.col(quoted(c)) if c in as_they_were else F.when(here, F.col(quoted(c))).alias(c)
+            for c in df.columns
+        ]
+    )
+
+
+def standardize(
+    df: DataFrame, processed_at: str, layouts: Layouts | None = None
+) -> DataFrame:
+    """All steps in order; each skips the columns a dataset does not have.
+
+    ``layouts`` (see `date_layouts`) adds dates that Spark's own cast does not read.
+    """
+    named = normalize_headers(df)
     return (
-        df.transform(normalize_headers)
-        .transform(trim_text)
-        .transform(coerce_dates)
+        named.transform(trim_text)
+        .transform(coerce_dates, layouts=layouts)
         .transform(coerce_numbers)
         .transform(coerce_booleans)
         .transform(lowercase, stripped=True)
         .transform(add_transaction_date)
+        .transform(_settled, [c for c in named.columns if c.startswith("_")])
         .transform(stamp, processed_at)
     )

@@ -53,7 +53,7 @@ def refresh_bronze(
         table = DATASETS[spec.name].bronze_table
         path = output_path(out, table)
         df = bronze.to_bronze(
-            read_raw(spark, spec, raw),
+            read_raw(spark, spec, raw, with_file=True),
             load_id=load_id,
             ingested_at=run_ts,
             source_system=spec.source_system,
@@ -129,12 +129,14 @@ def stored_audit(checked: DataFrame, spec: DatasetSpec, processed_at: str) -> di
 
 
 def refresh_silver(
-    spark: SparkSession, out: str, *, run_ts: str, strict_nulls: bool = False
+    spark: SparkSession, out: str, *, run_ts: str, strict_nulls: bool = False, date_layouts: bool = False
 ) -> dict[str, DataFrame]:
     """Standardise and validate every bronze table; returns the silver tables by dataset."""
 
     def check(spec: DatasetSpec) -> tuple[DataFrame, dict]:
-        rows = standardize.standardize(load_output(spark, out, spec.bronze_table), run_ts)
+        stored = load_output(spark, out, spec.bronze_table)
+        layouts = standardize.date_layouts(stored) if date_layouts else None
+        rows = standardize.standardize(stored, run_ts, layouts)
         path = output_path(out, spec.silver_table)
         flagged = quality.flag_rules(rows, spec, strict_nulls=strict_nulls, stripped=True)
         write_checked(flagged, path)
@@ -247,6 +249,7 @@ def refresh(
     run_ts: str | None = None,
     load_id: str | None = None,
     strict_nulls: bool = False,
+    date_layouts: bool = False,
     limits: checks.QualityLimits | None = None,
     database: str | None = None,
 ) -> None:
@@ -255,7 +258,8 @@ def refresh(
     A failing step stops the run. Run time (UTC) and load id are made once where
     none are given. With ``limits`` the gates are measured on bronze after
     loading and, where asked for, stop the run on a breach. With ``database``
-    the tables can be queried by name afterwards. Scratch data of the run is
+    the tables can be queried by name afterwards. With ``date_layouts`` dates may come in the
+    layouts people write; day and month are told apart by each column. Scratch data of the run is
     deleted at its end.
     """
     run_ts = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
@@ -270,7 +274,7 @@ def refresh(
             path = output_path(out, "quality_gates")
             replace_parquet(checks.quality_gates(**rows, limits=limits).coalesce(1), path)
             checks.enforce(spark.read.parquet(path), limits)
-        silver = refresh_silver(spark, out, run_ts=run_ts, strict_nulls=strict_nulls)
+        silver = refresh_silver(spark, out, run_ts=run_ts, strict_nulls=strict_nulls, date_layouts=date_layouts)
         refresh_gold(spark, out, silver)
         refresh_triage(spark, out, run_ts=run_ts)
         if database is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.functions import round_half_away, stable_avg, stable_sum
+from oreflow.functions import layouts, round_half_away, stable_avg, stable_sum
 from oreflow.model import DatasetSpec
 from oreflow.operators import (
     bronze,
@@ -193,6 +193,44 @@ def src_json_array_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_json_array(spark, path, SOURCES["exchange_rates_api"].schema)
 
 
+@query
+def src_json_array_split(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as one file with one array, read in ranges by several tasks."""
+    path = scratch_path(spark, "array")
+    rows = table(spark, folder, "orders").select(F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")).alias("value"))
+    # A file of lines made one array by a first and a last line.
+    first = rows.agg(F.min("value").alias("value"))
+    lines = first.select(F.concat(F.lit("[\n"), "value").alias("value"), F.lit(0).alias("n"))
+    rest = rows.join(F.broadcast(first.withColumnRenamed("value", "least")), F.col("value") != F.col("least"))
+    lines = lines.unionByName(rest.select(F.concat(F.lit(","), "value").alias("value"), F.lit(1).alias("n")))
+    lines = lines.unionByName(spark.createDataFrame([("]", 2)], "value string, n int"))
+    lines.coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    schema = T.StructType([T.StructField(n, t) for n, t in (("o_orderkey", T.LongType()), ("o_custkey", T.LongType()), ("o_totalprice", T.DoubleType()), ("o_orderstatus", T.StringType()), ("o_orderpriority", T.StringType()))])
+    return readers.read_json_array(spark, path, schema, range_bytes=256 << 10)
+
+
+@query
+def src_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in files with other columns in another order, line breaks inside values, read in ranges."""
+    path = scratch_path(spark, "headers")
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    # Texts that the reader would take as missing, or that hold a carriage return alone, are no case here.
+    docs = docs.withColumn("text", F.concat(F.lit("<"), F.regexp_replace("text", "\r", "\n"), F.lit(">")))
+    kinds = {
+        0: docs,
+        1: docs.select("source", "text", F.lit("new").alias("added"), "doc_id", "lang"),
+        2: docs.select("text", "doc_id", "lang"),
+    }
+    for kind, rows in kinds.items():
+        part = rows.filter(F.col("doc_id").cast("long") % 3 == kind)
+        (
+            part.coalesce(1).write.option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/kind-{kind}")
+        )
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("lang", "text", "source")]])
+    return readers.read_csv(spark, path, schema, multi_line=True, missing_as_null=True, range_bytes=256 << 10)
+
+
 @query
 def src_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "jsonl")
@@ -376,6 +414,39 @@ def std_dates_zoned(spark: SparkSession, folder: str) -> DataFrame:
     return standardize.coerce_dates(rows.select("transaction_id", text.alias("transaction_timestamp")))
 
 
+#: Layouts that one column each of `dates_in_layouts` is written in.
+WRITTEN = {
+    "us": "MM/dd/yyyy", "eu": "dd.MM.yyyy", "slashed": "yyyy/M/d", "named": "d MMM yyyy", "digits": "yyyyMMdd", "half_day": "yyyy-MM-dd hh:mm a",
+}
+
+
+def dates_in_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """Ship dates of all lines as text: a layout a column, one column of two orders, one that tells neither."""
+    shipped = F.col("l_shipdate")
+    early = F.make_date(F.year(shipped), F.month(shipped), F.dayofmonth(shipped) % 12 + 1)
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        *[F.date_format(shipped, pattern).alias(name) for name, pattern in WRITTEN.items()],
+        F.when(F.col("l_linenumber") % 2 == 0, F.date_format(shipped, "dd/MM/yyyy")).otherwise(F.date_format(shipped, "MM/dd/yyyy")).alias("mixed"),
+        F.date_format(early, "dd-MM-yyyy").alias("open"),
+    )
+
+
+@query
+def std_date_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = dates_in_layouts(spark, folder)
+    names = [*WRITTEN, "mixed", "open"]
+    settled = layouts.settle_layouts(layouts.count_layouts(rows, names))
+    return standardize.coerce_dates(rows, names, settled)
+
+
+@query
+def std_date_layout_report(spark: SparkSession, folder: str) -> DataFrame:
+    rows = dates_in_layouts(spark, folder)
+    return layouts.layout_report(layouts.count_layouts(rows, [*WRITTEN, "mixed", "open"]))
+
+
 @query
 def std_numerics(spark: SparkSession, folder: str) -> DataFrame:
     return standardize.coerce_numbers(

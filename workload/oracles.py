@@ -487,6 +487,11 @@ def oracle_sql() -> dict[str, str]:
     # Sources and sinks: what was written must come back.
     sql["src_csv_roundtrip"] = whole("raw_customer_service_notes")
     sql["src_json_array_roundtrip"] = whole("raw_exchange_rates_api")
+    sql["src_json_array_split"] = (
+        "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders"
+    )
+    sql["src_csv_headers"] = """SELECT doc_id, lang, '<' || replace(text, chr(13), chr(10)) || '>' AS text,
+        CASE WHEN doc_id % 3 <> 2 THEN source END AS source FROM documents"""
     sql["src_jsonl_roundtrip"] = "SELECT * FROM documents"
     sql["src_table_scan"] = whole("transactions")
     sql["src_parquet_scan"] = "SELECT * FROM lineitem"
@@ -501,6 +506,31 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT 'bronze' AS layer, 'bronze_{n}' AS table_name, count(*) AS row_count "
         f"FROM raw_{n}" for n in DATASETS)}"""
 
+    # Layouts: whole days come back, two orders where a field tells, nothing where none does.
+    day = "CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)"
+    halved = "CAST(strftime(l_shipdate, '%Y-%m-%d %H:%M:00') AS TIMESTAMP)"
+    told = "(day(l_shipdate) > 12 OR day(l_shipdate) = month(l_shipdate))"
+    equal = "day(l_shipdate) % 12 + 1 = month(l_shipdate)"
+    whole_days = ", ".join(f"{day} AS {name}" for name in ("us", "eu", "slashed", "named", "digits"))
+    sql["std_date_layouts"] = f"""SELECT l_orderkey, l_linenumber, {whole_days}, {halved} AS half_day,
+        CASE WHEN {told} THEN {day} END AS mixed,
+        CASE WHEN {equal} THEN CAST(make_date(year(l_shipdate), month(l_shipdate), month(l_shipdate)) AS TIMESTAMP) END AS open
+        FROM lineitem"""
+    late, none = "count(*) FILTER (day(l_shipdate) > 12)", "0"
+    first = "count(*) FILTER (day(l_shipdate) > 12 AND l_linenumber % 2 = 0)"
+    second = "count(*) FILTER (day(l_shipdate) > 12 AND l_linenumber % 2 <> 0)"
+    found = (
+        ("us", "short/", none, late, "'month_first'"), ("eu", "short.", late, none, "'day_first'"),
+        ("slashed", "year/slash", none, none, "NULL"), ("named", "day name", none, none, "NULL"),
+        ("digits", "digits", none, none, "NULL"), ("half_day", "year-dash", none, none, "NULL"),
+        ("mixed", "short/", first, second, "'mixed'"), ("open", "short-", none, none, "'ambiguous'"),
+    )
+    sql["std_date_layout_report"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS column_name, '{kind}' AS layout, count(*) AS "values", {a} AS first_over_12,
+        {b} AS second_over_12, {order} AS field_order FROM lineitem WHERE l_shipdate IS NOT NULL"""
+        for name, kind, a, b, order in found
+    )
+
     # Bronze.
     sql["bronze_metadata"] = (
         f"WITH {role_cte('raw_customers')} SELECT *, {META} FROM raw_customers"
