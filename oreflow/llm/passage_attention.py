@@ -15,19 +15,21 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.batches import BLANK, Words, mix, slices, text_buffers
+from oreflow.llm.batches import BLANK, Words, lean, mix, slices, text_buffers
 
 PASSAGE = 64
 #: Bins for hashed words.
 BINS = 48
 #: Labelled documents that the network is trained on at most, half of each label, first by a hash of the id.
 SAMPLE_DOCUMENTS = 4_000
-#: Passages of one document that are trained on at most, spread evenly; scoring uses all.
-SAMPLE_PASSAGES = 64
+#: Passages of the longest document learned from, whole; scores read every passage of every text.
+SAMPLE_PASSAGES = 1024
+#: Bytes of features that reach the driver: documents in order of a hash of their id, up to here.
+SAMPLE_BYTES = 96 << 20
 HIDDEN, GATES, STEPS, BATCH, RATE, DECAY = 24, 12, 800, 128, 0.01, 1e-3
 
 _WORDS = Words(BLANK, fold_case=False)
@@ -160,15 +162,13 @@ def train(features: np.ndarray, heads: np.ndarray, labels: np.ndarray, share: fl
     return Network(mean, scale, w, float(odds(np.clip(share, 0.01, 0.99)) - odds(np.clip(own, 0.01, 0.99))))
 
 
+@lean
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, 1, 4 << 20)):
         features, heads = passages(batch.column(1))
         rows = []
         for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-            own = features[a:b]
-            if len(own) > SAMPLE_PASSAGES:
-                own = own[np.linspace(0, len(own) - 1, SAMPLE_PASSAGES).astype(int)]
-            rows.append(own.tobytes())
+            rows.append(features[a:b].tobytes() if b - a <= SAMPLE_PASSAGES else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), batch.column(2)], names=["order", "features", "label"])
 
 
@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     """The network, or a constant score where there is nothing to learn from.
 
     `labelled` has the document id and label (0 or 1); other labels, null ids and ids with differing
-    labels are left out. At most SAMPLE_DOCUMENTS documents reach the driver, as features.
+    labels are left out. At most SAMPLE_DOCUMENTS documents reach the driver, as features of all their
+    passages, SAMPLE_BYTES in all; documents of over SAMPLE_PASSAGES passages are not learned from.
     """
     clean = labelled.where("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
     order = F.xxhash64("doc_id")
@@ -192,7 +193,10 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     # At most SAMPLE_DOCUMENTS rows are broadcast.
     sample = texts.join(F.broadcast(picked), "doc_id").select("order", "text", F.col("label").cast("double").alias("label"))
     schema = T.StructType([T.StructField("order", T.LongType()), T.StructField("features", T.BinaryType()), T.StructField("label", T.DoubleType())])
-    rows = sorted(sample.mapInArrow(_features, schema).orderBy("order").limit(SAMPLE_DOCUMENTS).collect(), key=lambda r: (r.order, r.features))
+    # At most SAMPLE_DOCUMENTS rows pass the window, and at most SAMPLE_BYTES of them reach the driver.
+    so_far = F.sum(F.octet_length("features")).over(Window.orderBy("order", "features"))
+    bags_of = sample.mapInArrow(_features, schema).where("features IS NOT NULL").orderBy("order", "features").limit(SAMPLE_DOCUMENTS)
+    rows = bags_of.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).orderBy("order", "features").collect()
     bags = [np.frombuffer(r.features, np.float32).reshape(-1, FEATURES) for r in rows]
     y = np.array([r.label for r in rows])
     if not len(y) or y.min() == y.max():
@@ -201,6 +205,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     return train(np.concatenate(bags).astype(np.float64), heads, y, totals.get(1, 0) / sum(totals.values()))
 
 
+@lean
 def _score(batches: Iterator[pa.RecordBatch], network: Broadcast) -> Iterator[pa.RecordBatch]:
     model = network.value
     for batch in (part for whole in batches for part in slices(whole, 1, 4 << 20)):
@@ -221,6 +226,7 @@ def score(docs: DataFrame, network: Network | float, id_col: str = "doc_id", tex
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(partial(_score, network=sent), schema)
 
 
+@lean
 def _keep(batches: Iterator[pa.RecordBatch], network: Broadcast, text_at: int, least: float) -> Iterator[pa.RecordBatch]:
     model = network.value
     for batch in (part for whole in batches for part in slices(whole, text_at, 4 << 20)):

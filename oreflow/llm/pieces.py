@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.batches import slices, take_ranges
+from oreflow.llm.batches import lean, slices, take_ranges
 
 SPACE = "▁"
-#: Parts remembered by a Python worker; beyond that it forgets all and goes on.
-REMEMBERED = 200_000
+#: Bytes that a Python worker remembers parts with, and fits with, at most; beyond that it forgets all and goes on.
+REMEMBERED = 40 << 20
+#: Characters of the longest part remembered, and bytes of an entry but for its characters.
+REMEMBERED_LENGTH, ENTRY_BYTES = 64, 200
 #: Bytes of text encoded at a time.
 SLICE = 6 << 20
 
@@ -52,6 +54,7 @@ class PieceModel:
         self.automaton.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, bytes] = {}
+        self.fits_bytes = self.parts_bytes = 0
         surfaces = [b"" if model.is_control(i) else p.replace(SPACE, " ").encode() for i, p in ((i, model.id_to_piece(i)) for i in ids)]
         for b, i in enumerate(self.byte_ids):
             if self.has_bytes:
@@ -81,10 +84,12 @@ class PieceModel:
     def fit(self, left: str, right: str) -> bool:
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) > REMEMBERED:
+            if self.fits_bytes > REMEMBERED:
                 self.fits.clear()
+                self.fits_bytes = 0
             known = self.merged(left + right) == ([left, right] if left else [right])
             self.fits[left, right] = known
+            self.fits_bytes += ENTRY_BYTES + len(left) + len(right)
         return known
 
     def split(self, part: str) -> list[str]:
@@ -117,8 +122,9 @@ class PieceModel:
     def encode_part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
-            if len(self.parts) > REMEMBERED:
+            if self.parts_bytes > REMEMBERED:
                 self.parts.clear()
+                self.parts_bytes = 0
             ids = []
             for p in self.split(part):
                 found = self.ids.get(p)
@@ -128,7 +134,10 @@ class PieceModel:
                     ids.extend(self.byte_ids[b] for b in p.encode())
                 else:
                     ids.append(self.unknown)
-            known = self.parts[part] = array("i", ids).tobytes()
+            known = array("i", ids).tobytes()
+            if len(part) <= REMEMBERED_LENGTH:
+                self.parts[part] = known
+                self.parts_bytes += ENTRY_BYTES + 5 * len(part)
         return known
 
     def encode_chunk(self, chunk: str) -> bytes:
@@ -202,6 +211,7 @@ def model_at(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+@lean
 def _encode(batches: Iterator[pa.RecordBatch], path: str, decode: bool) -> Iterator[pa.RecordBatch]:
     model = model_at(path)
     for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
@@ -212,6 +222,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, decode: bool) -> Itera
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
 
+@lean
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = model_at(path)
     for batch in batches:
