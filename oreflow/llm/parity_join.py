@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.batches import BLANK, Words, mix, rolling, slices, take_ranges, text_buffers
+from oreflow.llm.batches import BLANK, Words, lean, mix, rolling, slices, take_ranges, text_buffers
 from oreflow.llm.components import components
 from oreflow.llm.packed import CELLS, batch_of, cells, gathered, group_sizes, group_starts, joined, part_bits, parts_of
 from oreflow.session import staged
@@ -147,6 +147,7 @@ class Sets:
 STATS = ["doc_id", "n_shingles", "print", "band", "filled_even", "filled_odd", "spare_even", "spare_odd", "sketch"]
 
 
+@lean
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
         sets = Sets(batch.column(1))
@@ -158,6 +159,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=STATS)
 
 
+@lean
 def _sketches(batches: Iterator[pa.RecordBatch], bits: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, 1, _SLICE)):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -189,6 +191,7 @@ def _tally(pairs: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([rows[starts, :2], group_sizes(starts, len(rows)) - odd, odd])
 
 
+@lean
 def _meet(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (a, b) of small groups and of the smallest of large ones, with the keys they share; members (key, b, size) of large groups with kind 1."""
     pairs: list[np.ndarray] = []
@@ -229,6 +232,7 @@ def _meet(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBa
     yield sent()
 
 
+@lean
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of one unit (key, i, j) in different components whose sizes and sketches are near."""
 
@@ -270,6 +274,7 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield sent()
 
 
+@lean
 def _asked(batches: Iterator[pa.RecordBatch], sketch: bool) -> Iterator[pa.RecordBatch]:
     """Sends the set of each document, or its size and parity sketch, to all that asked: (owner, copy, member, doc_id, 5 bytes a hash)."""
     for batch in (part for whole in batches for part in slices(whole, 1, 2 << 20)):
@@ -289,6 +294,7 @@ def _asked(batches: Iterator[pa.RecordBatch], sketch: bool) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[at : at + 4096], strict=True), kinds, strict=True)], names=names)
 
 
+@lean
 def _compare(batches: Iterator[pa.RecordBatch], sketch: bool) -> Iterator[pa.RecordBatch]:
     """Links between an owner, whose set comes first, and the members that follow it; by sketches, those that can be links."""
 
