@@ -23,6 +23,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--date-layouts", action="store_true", help="read dates in the layouts people write")
     parser.add_argument("--gates", action="store_true", help="measure the quality gates")
     parser.add_argument("--fail-on-breach", action="store_true", help="stop on a broken gate")
+    parser.add_argument("--resume", action="store_true", help="go on with the last run that was stopped")
     given = parser.parse_args(arguments)
     measured = given.gates or given.fail_on_breach
     refresh(
@@ -35,6 +36,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         date_layouts=given.date_layouts,
         limits=QualityLimits(fail_on_breach=given.fail_on_breach) if measured else None,
         database=given.database,
+        resume=given.resume,
     )
 
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
+from functools import partial
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -19,6 +20,7 @@ from oreflow.session import scratch_scope
 from oreflow.sources.outputs import (
     BROKEN,
     BROKEN_RULES,
+    LAYERS,
     OUTCOME,
     PASSED,
     PATHS,
@@ -27,12 +29,20 @@ from oreflow.sources.outputs import (
     output_path,
     passed_rows,
     read_checked,
+    silver_schema,
 )
 from oreflow.sources.readers import read_raw
-from oreflow.sources.writers import replace_csv, replace_parquet, replace_table
+from oreflow.sources.versions import Run, current_root, fingerprint, publish
+from oreflow.sources.writers import point_table, replace_csv, replace_parquet
 
 T = TypeVar("T")
 R = TypeVar("R")
+# Does a named step, or tells its record where it has been done before.
+Once = Callable[[str, Callable[[], dict | None]], dict | None]
+
+
+def _always(step: str, work: Callable[[], dict | None]) -> dict | None:
+    return work()
 
 
 def _each(spark: SparkSession, step: Callable[[T], R], items: Iterable[T]) -> list[R]:
@@ -45,8 +55,8 @@ def _each(spark: SparkSession, step: Callable[[T], R], items: Iterable[T]) -> li
 
 
 def refresh_bronze(
-    spark: SparkSession, raw: str, out: str, *, run_ts: str, load_id: str
-) -> DataFrame:
+    spark: SparkSession, raw: str, out: str, *, run_ts: str, load_id: str, once: Once = _always
+) -> None:
     """Load every registered source and write the load audit."""
 
     def load(spec: SourceSpec) -> dict:
@@ -72,9 +82,15 @@ def refresh_bronze(
             "status": "success",
         }
 
-    audit = bronze.load_audit(spark, _each(spark, load, SOURCES.values()))
-    replace_parquet(audit.coalesce(1), output_path(out, "bronze_load_audit"))
-    return audit
+    def noted(spec: SourceSpec) -> dict:
+        return once(f"bronze-{spec.name}", partial(load, spec))
+
+    def audit() -> None:
+        records = bronze.load_audit(spark, loads)
+        replace_parquet(records.coalesce(1), output_path(out, "bronze_load_audit"))
+
+    loads = _each(spark, noted, SOURCES.values())
+    once("bronze-audit", audit)
 
 
 def write_checked(flagged: DataFrame, path: str) -> None:
@@ -129,46 +145,65 @@ def stored_audit(checked: DataFrame, spec: DatasetSpec, processed_at: str) -> di
 
 
 def refresh_silver(
-    spark: SparkSession, out: str, *, run_ts: str, strict_nulls: bool = False, date_layouts: bool = False
+    spark: SparkSession,
+    out: str,
+    *,
+    run_ts: str,
+    strict_nulls: bool = False,
+    date_layouts: bool = False,
+    once: Once = _always,
 ) -> dict[str, DataFrame]:
     """Standardise and validate every bronze table; returns the silver tables by dataset."""
 
-    def check(spec: DatasetSpec) -> tuple[DataFrame, dict]:
+    def stored_rows(spec: DatasetSpec) -> DataFrame:
+        columns = silver_schema(spark, spec.name)
+        return read_checked(spark, output_path(out, spec.silver_table), columns)
+
+    def check(spec: DatasetSpec) -> dict:
         stored = load_output(spark, out, spec.bronze_table)
         layouts = standardize.date_layouts(stored) if date_layouts else None
         rows = standardize.standardize(stored, run_ts, layouts)
         path = output_path(out, spec.silver_table)
         flagged = quality.flag_rules(rows, spec, strict_nulls=strict_nulls, stripped=True)
         write_checked(flagged, path)
-        checked = read_checked(spark, path, rows.schema)
-        return checked, stored_audit(checked, spec, run_ts)
+        return stored_audit(stored_rows(spec), spec, run_ts)
+
+    def noted(spec: DatasetSpec) -> dict:
+        return once(f"silver-{spec.name}", partial(check, spec))
+
+    def audit() -> None:
+        table = quality.audit_table(spark, records)
+        replace_parquet(table.coalesce(1), output_path(out, "silver_transform_audit"))
+
+    def quarantine() -> None:
+        rejects = quality.union_rejects(
+            spark,
+            [
+                stored_rejects(stored_rows(spec), spec, run_ts)
+                for spec, record in zip(specs, records, strict=True)
+                if record["rejected_rule_hits"]
+            ],
+        )
+        # Evens out the files of the quarantine, which may be a few rows or very many.
+        even = rejects.hint("rebalance")
+        replace_parquet(even, output_path(out, "silver_data_quality_rejects"))
 
     specs = list(DATASETS.values())
-    results = _each(spark, check, specs)
-    audit = quality.audit_table(spark, [record for _, record in results])
-    rejects = quality.union_rejects(
-        spark,
-        [
-            stored_rejects(checked, spec, run_ts)
-            for spec, (checked, record) in zip(specs, results, strict=True)
-            if record["rejected_rule_hits"]
-        ],
-    )
-    replace_parquet(audit.coalesce(1), output_path(out, "silver_transform_audit"))
-    # Evens out the files of the quarantine, which may be a few rows or very many.
-    even = rejects.hint("rebalance")
-    replace_parquet(even, output_path(out, "silver_data_quality_rejects"))
-    return {spec.name: passed_rows(df) for spec, (df, _) in zip(specs, results, strict=True)}
+    records = _each(spark, noted, specs)
+    once("silver-audit", audit)
+    once("silver-rejects", quarantine)
+    return {spec.name: passed_rows(stored_rows(spec)) for spec in specs}
 
 
-def refresh_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame]) -> None:
+def refresh_gold(
+    spark: SparkSession, out: str, silver: dict[str, DataFrame], *, once: Once = _always
+) -> None:
     """Build the marts and, from the stored customer 360, the feature table.
 
     Validation left account ids unique, which spares a distinct count.
     """
 
-    def customer_tables() -> None:
-        path = output_path(out, "gold_customer_360")
+    def customers() -> None:
         mart = gold.customer_360(
             silver["customers"],
             silver["accounts"],
@@ -177,12 +212,18 @@ def refresh_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame]) ->
             silver["customer_service_notes"],
             unique_accounts=True,
         )
-        replace_parquet(mart, path)
-        stored = spark.read.schema(mart.schema).parquet(path)
+        replace_parquet(mart, output_path(out, "gold_customer_360"))
+
+    def risk_features() -> None:
+        stored = load_output(spark, out, "gold_customer_360")
         replace_parquet(
             features.customer_risk_features(stored), output_path(out, "ml_customer_risk_features")
         )
 
+    def customer_tables() -> None:
+        once("gold-customers", customers)
+        once("ml-features", risk_features)
+
     def daily() -> None:
         replace_parquet(
             gold.daily_transaction_summary(silver["transactions"]),
@@ -209,36 +250,63 @@ def refresh_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame]) ->
             output_path(out, "gold_data_quality_dashboard"),
         )
 
-    _each(spark, lambda build: build(), [customer_tables, daily, products, dashboard])
+    steps = {"gold-daily": daily, "gold-products": products, "gold-dashboard": dashboard}
+    builds = [customer_tables, *[partial(once, name, step) for name, step in steps.items()]]
+    _each(spark, lambda build: build(), builds)
 
 
-def refresh_triage(spark: SparkSession, out: str, *, run_ts: str) -> None:
+def refresh_triage(spark: SparkSession, out: str, *, run_ts: str, once: Once = _always) -> None:
     """Triage the stored dashboard. Both reports hold one row per dataset."""
     report = output_path(out, "ai_pipeline_triage_parquet")
-    replace_parquet(
-        triage.triage_table(
+
+    def table() -> None:
+        rows = triage.triage_table(
             load_output(spark, out, "gold_data_quality_dashboard"),
             load_output(spark, out, "silver_data_quality_rejects"),
             run_ts,
-        ).coalesce(1),
-        report,
-    )
-    stored = spark.read.parquet(report)
-    replace_csv(stored, output_path(out, "ai_pipeline_triage"), single_file=True)
-    replace_csv(
-        triage.issue_log(stored), output_path(out, "governance_issue_log"), single_file=True
-    )
+        )
+        replace_parquet(rows.coalesce(1), report)
+
+    def texts() -> None:
+        stored = spark.read.parquet(report)
+        replace_csv(stored, output_path(out, "ai_pipeline_triage"), single_file=True)
+        replace_csv(
+            triage.issue_log(stored), output_path(out, "governance_issue_log"), single_file=True
+        )
+
+    once("triage-table", table)
+    once("triage-texts", texts)
 
 
 def register(spark: SparkSession, out: str, database: str) -> None:
-    """Replace the tables of a database by the stored outputs, one table for each."""
+    """Point the tables of a database at the stored outputs, one table for each.
 
-    def publish(name: str) -> None:
-        replace_table(load_output(spark, out, name), f"{database}.{name}")
+    No data is read or copied. A silver table is a view of the passed rows over
+    a table of all checked rows, which is named ``<table>_checked``.
+    """
+    root = current_root(spark, out)
+
+    def show(name: str) -> None:
+        table, path = f"{database}.{name}", output_path(root, name)
+        frame = load_output(spark, root, name)
+        if name in LAYERS["silver"]:
+            columns = silver_schema(spark, name.removeprefix("silver_"))
+            point_table(spark, f"{table}_checked", path, read_checked(spark, path, columns).schema)
+            if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+                spark.sql(f"DROP TABLE {table}")
+            listed = ", ".join(f"`{column}`" for column in frame.columns)
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {table} AS SELECT {listed} FROM {table}_checked "
+                f"WHERE {OUTCOME} = '{PASSED}'"
+            )
+        elif path.endswith(".csv"):
+            point_table(spark, table, path, frame.schema, "csv", header="true", escape='"')
+        else:
+            point_table(spark, table, path, frame.schema)
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     optional = {"quality_gates", "ai_pipeline_triage_parquet"}
-    _each(spark, publish, [name for name in PATHS if name not in optional])
+    _each(spark, show, [name for name in PATHS if name not in optional])
 
 
 def refresh(
@@ -252,30 +320,62 @@ def refresh(
     date_layouts: bool = False,
     limits: checks.QualityLimits | None = None,
     database: str | None = None,
+    resume: bool = False,
+    keep: int = 2,
 ) -> None:
-    """Rebuild every table below ``out`` from the files below ``raw``.
-
-    A failing step stops the run. Run time (UTC) and load id are made once where
-    none are given. With ``limits`` the gates are measured on bronze after
-    loading and, where asked for, stop the run on a breach. With ``database``
-    the tables can be queried by name afterwards. With ``date_layouts`` dates may come in the
-    layouts people write; day and month are told apart by each column. Scratch data of the run is
-    deleted at its end.
+    """Rebuild every table from the files below ``raw``, as a new version below ``out``.
+
+    Readers see the version before until every step has ended; then one pointer
+    file turns them all to the new one, and ``keep`` versions stay. A failing step stops the run and
+    changes nothing for readers. With ``resume`` the last unfinished run over the same files,
+    settings and code goes on after the steps it has ended, with its run time and load id where
+    none are given; the caller sees to it that nothing else works on that run.
+
+    Run time (UTC) and load id are made once where none are given. With ``limits``
+    the gates are measured on bronze after loading and, where asked for, stop the run on a breach;
+    their table is outside the versions, so it tells why a run stopped. With
+    ``database`` the tables can be queried by name afterwards. With ``date_layouts`` dates may come
+    in the layouts people write; day and month are told apart by each column. Scratch data of the
+    run is deleted at its end.
     """
-    run_ts = run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
-    load_id = load_id or str(uuid.uuid4())
-    with scratch_scope(spark):
-        refresh_bronze(spark, raw, out, run_ts=run_ts, load_id=load_id)
-        if limits is not None:
-            rows = {
-                name: standardize.standardize(load_output(spark, out, f"bronze_{name}"), run_ts)
-                for name in ("customers", "transactions", "accounts")
-            }
-            path = output_path(out, "quality_gates")
-            replace_parquet(checks.quality_gates(**rows, limits=limits).coalesce(1), path)
-            checks.enforce(spark.read.parquet(path), limits)
-        silver = refresh_silver(spark, out, run_ts=run_ts, strict_nulls=strict_nulls, date_layouts=date_layouts)
-        refresh_gold(spark, out, silver)
-        refresh_triage(spark, out, run_ts=run_ts)
-        if database is not None:
-            register(spark, out, database)
+    settings = {
+        "run_ts": run_ts,
+        "load_id": load_id,
+        "strict_nulls": strict_nulls,
+        "date_layouts": date_layouts,
+        "limits": repr(limits),
+    }
+    told = fingerprint(spark, raw, settings)
+    run = Run.unfinished(spark, out, told) if resume else None
+    if run is None:
+        made = {
+            "run_ts": run_ts or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"),
+            "load_id": load_id or str(uuid.uuid4()),
+        }
+        run = Run.start(spark, out, {"fingerprint": told, **made})
+    run_ts, load_id, once, place = run.facts["run_ts"], run.facts["load_id"], run.once, run.path
+
+    def gates() -> None:
+        rows = {
+            name: standardize.standardize(load_output(spark, place, f"bronze_{name}"), run_ts)
+            for name in ("customers", "transactions", "accounts")
+        }
+        measured = checks.quality_gates(**rows, limits=limits)
+        replace_parquet(measured.coalesce(1), output_path(out, "quality_gates"))
+        checks.enforce(load_output(spark, out, "quality_gates"), limits)
+
+    try:
+        with scratch_scope(spark):
+            refresh_bronze(spark, raw, place, run_ts=run_ts, load_id=load_id, once=once)
+            if limits is not None:
+                once("gates", gates)
+            options = {"strict_nulls": strict_nulls, "date_layouts": date_layouts}
+            silver = refresh_silver(spark, place, run_ts=run_ts, once=once, **options)
+            refresh_gold(spark, place, silver, once=once)
+            refresh_triage(spark, place, run_ts=run_ts, once=once)
+    except BaseException:
+        run.failed()
+        raise
+    publish(spark, out, run.version, keep)
+    if database is not None:
+        register(spark, out, database)

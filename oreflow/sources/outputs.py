@@ -16,6 +16,7 @@ from pyspark.sql.types import (
 from oreflow.operators.bronze import METADATA
 from oreflow.operators.standardize import standardize
 from oreflow.registry import DATASETS, SOURCES
+from oreflow.sources.versions import current_root
 
 # Rows of a checked dataset are stored by outcome: rows that passed, rows no
 # rule could decide on, and rows that broke a rule. The broken rules are a column.
@@ -73,6 +74,9 @@ CONTROL: dict[str, str] = {
     "quality_gates": "metadata/quality_gates.parquet",
 }
 
+# Tables about a run that must be readable when it stops: not part of a version.
+OUTSIDE_VERSIONS = {"quality_gates"}
+
 PATHS: dict[str, str] = {
     name: path for tables in LAYERS.values() for name, path in tables.items()
 } | CONTROL
@@ -116,8 +120,11 @@ def load_file(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def load_output(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Load an output table by name; raises FileNotFoundError where it is missing."""
-    path = output_path(root, table)
+    """Load an output table by name; raises FileNotFoundError where it is missing.
+
+    The table is that of the version in use, or lies below ``root`` itself where there are no versions.
+    """
+    path = output_path(root if table in OUTSIDE_VERSIONS else current_root(spark, root), table)
     dataset = table.removeprefix("silver_")
     try:
         if table in LAYERS["silver"]:
