@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 _RESOLUTION = 2.0**-52
 # Nine digits after the point are added up as whole numbers, finer parts as they are.
 _FRACTION = 1e9
+# Binary digits of the lower of the two whole numbers a fraction is added up as.
+_HALF = 15
 
 
 def stable_sum(value: Column) -> Column:
     """Sum of a double column, null when there is nothing to sum.
 
     Whole parts are added up as integers held in doubles, exact up to 2**53,
-    and nine digits after the point as long integers, so task order, retries
+    and nine digits after the point as two long integers, which hold 2**47 rows, so task order, retries
     and partition counts cannot move a total across a rounding boundary. What
     is finer is a third, plain sum, unless it is under the resolution of the
     value itself (0.1 has no finer part, though no double equals it). Infinities
-    and NaN go into the whole part alone.
+    and NaN go into the whole part alone. Where every bit must be the same for any values, use
+    ``exact_sums``, which takes a second step of aggregation.
     """
     whole = F.rint(value)
     rest = F.nanvl(value - whole, F.lit(0.0))
@@ -26,7 +29,10 @@ def stable_sum(value: Column) -> Column:
     finer = F.when(F.abs(left) > F.abs(value) * _RESOLUTION, left).otherwise(
         F.when(value.isNotNull(), 0.0)
     )
-    return F.sum(whole) + F.sum(fraction) / _FRACTION + F.sum(finer)
+    upper = F.sum(F.shiftright(fraction, _HALF)).cast("decimal(38,0)")
+    lower = F.sum(fraction.bitwiseAND(F.lit((1 << _HALF) - 1)))
+    fractions = (upper * F.lit(1 << _HALF).cast("decimal(10,0)") + lower).cast("double")
+    return F.sum(whole) + fractions / _FRACTION + F.sum(finer)
 
 
 def stable_avg(value: Column) -> Column:

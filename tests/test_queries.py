@@ -15,7 +15,7 @@ NAMES = [
     "src_csv_roundtrip", "src_json_array_roundtrip", "src_jsonl_roundtrip", "bronze_row_hash",
     "std_trim_text", "std_full_transactions", "std_full_customers", "val_unique_key_nulls",
     "val_rejects", "val_valid_rows_accounts", "val_null_currency_dropped", "val_transform_audit",
-    "gold_account_agg", "gold_customer_360", "gold_daily_summary", "gold_product_performance",
+    "gold_account_agg", "gold_exact_sums", "gold_customer_360", "gold_daily_summary", "gold_product_performance",
     "ml_feature_table", "triage_table", "rpt_kpis", "rpt_customer_sample", "gate_report",
     "full_refresh_product_performance",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.functions import layouts, round_half_away, stable_avg, stable_sum
+from oreflow.functions import exact_sums, layouts, round_half_away, stable_avg, stable_sum
 from oreflow.model import DatasetSpec
 from oreflow.operators import (
     bronze,
@@ -571,6 +571,13 @@ def gold_fine_sums(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(sums, total=6, mean=9)
 
 
+@query
+def gold_exact_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The same to the last bit, for any order of the rows."""
+    sums = exact_sums(table(spark, folder, "events"), ["event_type"], F.col("value") / 250 / 7)
+    return rounded(sums, total=6, mean=9)
+
+
 @query
 def gold_customer_360(spark: SparkSession, folder: str) -> DataFrame:
     return customer_360(spark, folder)

@@ -607,6 +607,9 @@ def oracle_sql() -> dict[str, str]:
     sql["gold_fine_sums"] = """SELECT event_type, count(*) AS n,
         round(sum(value / 250 / 7), 6) AS total, round(avg(value / 250 / 7), 9) AS mean
         FROM events GROUP BY event_type"""
+    sql["gold_exact_sums"] = """SELECT event_type, count(value) AS n,
+        round(fsum(value / 250 / 7), 6) AS total, round(fsum(value / 250 / 7) / count(value), 9) AS mean
+        FROM events GROUP BY event_type"""
     sql["gold_customer_360"] = f"{CUSTOMER_360_WITH} SELECT * FROM customer_360"
     sql["gold_daily_summary"] = f"WITH {role_cte('transactions')} {DAILY}"
     sql["gold_account_transactions"] = f"""WITH {role_cte('transactions')},
