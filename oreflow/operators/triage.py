@@ -123,6 +123,12 @@ def top_failed_rules(rejects: DataFrame, limit: int = 5) -> DataFrame:
     return ranked.groupBy("dataset_name").agg(listed.getField("text").alias(TOP_RULES))
 
 
+# Rules of one dataset by their number of hits; takes :dataset and :places.
+RULES_BY_NAME = """SELECT rule_name, count(*) AS rule_hits
+    FROM {silver_data_quality_rejects} WHERE dataset_name = :dataset
+    GROUP BY rule_name ORDER BY rule_hits DESC, rule_name LIMIT :places"""
+
+
 def ordered_dashboard(dashboard: DataFrame) -> DataFrame:
     """Worst dataset first."""
     # Columns of the ordered dashboard.

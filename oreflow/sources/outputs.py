@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,3 +136,15 @@ def load_output(spark: SparkSession, root: str, table: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no output {table} at {path}; run the refresh first") from error
         raise
+
+
+def ask(spark: SparkSession, root: str, query: str, **values: object) -> DataFrame:
+    """Run SQL over output tables named in braces, with ``:name`` markers for values.
+
+    Values are bound as parameters, never pasted into the text, so quotes in them are harmless::
+
+        ask(spark, root, "SELECT * FROM {gold_customer_360} WHERE customer_id = :id", id="C'1")
+    """
+    named = {name for _, name, _, _ in Formatter().parse(query) if name}
+    tables = {name: load_output(spark, root, name) for name in named}
+    return spark.sql(query, args=values, **tables)

@@ -14,9 +14,9 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = [
     "src_csv_roundtrip", "src_json_array_roundtrip", "src_jsonl_roundtrip", "bronze_row_hash",
     "std_trim_text", "std_full_transactions", "std_full_customers", "val_unique_key_nulls",
-    "val_rejects", "val_valid_rows_accounts", "val_null_currency_dropped", "val_transform_audit",
+    "val_rejects", "val_reject_replay", "val_valid_rows_accounts", "val_null_currency_dropped", "val_transform_audit",
     "gold_account_agg", "gold_exact_sums", "gold_customer_360", "gold_daily_summary", "gold_product_performance",
-    "ml_feature_table", "triage_table", "rpt_kpis", "rpt_customer_sample", "gate_report",
+    "ml_feature_table", "triage_table", "triage_top_rules_by_name", "rpt_kpis", "rpt_customer_sample", "gate_report",
     "full_refresh_product_performance",
 ]
 

@@ -19,6 +19,7 @@ from oreflow.operators import (
     features,
     gold,
     quality,
+    replay,
     reports,
     standardize,
     triage,
@@ -529,6 +530,17 @@ def val_transform_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit_of(profile_of(spark, folder))
 
 
+@query
+def val_reject_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions rejected for their key alone, whose other copies broke further rules: they pass now."""
+    spec = DATASETS["transactions"]
+    frame = flagged(spark, folder, spec.name)
+    rejects = quality.reject_records(frame, spec, TS)
+    silver = quality.valid_rows(frame)
+    again = replay.replay(rejects, spec, silver, TS, settled=[quality.unique_rule(spec.unique_key)])
+    return quality.valid_rows(again)
+
+
 _per_dataset(
     "val_reject_payload",
     lambda spark, folder, name: payloads(flagged(spark, folder, name), DATASETS[name]),
@@ -676,6 +688,16 @@ def triage_top_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.select("dataset_name", listed)
 
 
+@query
+def triage_top_rules_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules of one stored dataset, asked for with bound values."""
+    root = scratch_path(spark, "asked")
+    frame = flagged(spark, folder, "transactions")
+    rejects = quality.reject_records(frame, DATASETS["transactions"], TS)
+    writers.replace_parquet(rejects, outputs.output_path(root, "silver_data_quality_rejects"))
+    return outputs.ask(spark, root, triage.RULES_BY_NAME, dataset="transactions", places=5)
+
+
 @query
 def triage_summary(spark: SparkSession, folder: str) -> DataFrame:
     profile = profile_of(spark, folder)

@@ -596,6 +596,13 @@ def oracle_sql() -> dict[str, str]:
             f"* EXCLUDE ({masks}), '{TS}' AS _silver_processed_at_utc FROM flag_{name} WHERE m{i}"
             for i, (rule, severity) in enumerate(RULES[name])
         )
+    sql["val_reject_replay"] = f"""{checked_with('transactions')},
+        lone AS (SELECT DISTINCT * FROM flag_transactions WHERE m3 AND NOT coalesce(m0, false)
+            AND NOT coalesce(m1, false) AND NOT coalesce(m2, false)
+            AND NOT coalesce(m4, false) AND NOT coalesce(m5, false)),
+        once AS (SELECT transaction_id FROM lone GROUP BY transaction_id HAVING count(*) = 1)
+        SELECT * EXCLUDE (m0, m1, m2, m3, m4, m5), '{TS}' AS _silver_processed_at_utc
+        FROM lone SEMI JOIN once USING (transaction_id) WHERE NOT (m0 OR m1 OR m2 OR m4 OR m5)"""
     sql["val_transform_audit"] = f"{AUDIT_WITH} SELECT * FROM audit"
 
     # Gold.
@@ -648,6 +655,9 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["triage_top_rules"] = f"""{TRIAGE_WITH} SELECT dataset_name, top5 AS top_failed_rules
         FROM top_rules"""
+    sql["triage_top_rules_by_name"] = f"""{checked_with('transactions')},
+        hits AS ({hits('transactions')}) SELECT rule_name, count(*) AS rule_hits FROM hits
+        GROUP BY rule_name ORDER BY rule_hits DESC, rule_name LIMIT 5"""
     sql["triage_summary"] = (
         f"{TRIAGE_WITH} SELECT dataset_name, plain_language_summary FROM triage"
     )
