@@ -14,6 +14,9 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Beyond it, the keys that hold the most rows are broadcast on their own; at
 # most this many can each hold 1/HOT_KEYS of the repeated rows.
 HOT_KEYS = 10_000
+# A heavy key longer than this is not broadcast but joined by shuffle, which bounds
+# the broadcast at HOT_KEYS times as many bytes.
+HOT_KEY_BYTES = 4096
 # Generous allowance per hashed row for counts, pointers and page slack.
 _ROW_OVERHEAD = 64
 
@@ -48,7 +51,7 @@ def mark_repeated(
     * none: no join;
     * small: broadcast, the wide rows stay where they are;
     * large: a broadcast for the null key and the few heavy keys (their number
-      is bounded by the cut-off) and a shuffle join for all others. Rows already decided
+      is bounded by the cut-off, their length by ``HOT_KEY_BYTES``) and a shuffle join for all others. Rows already decided
       by the broadcast carry no join key and are spread by task number, so
       that no reducer receives a heavy group. (The slot of all others is a
       function of the key: a constant would be folded out of the join.)
@@ -76,7 +79,9 @@ def mark_repeated(
         joined = df.join(small, own.eqNullSafe(F.col("dup_key")), "left")
         return joined.select(*kept, F.col("dup_hit").isNotNull().alias(flag))
 
-    heavy = F.col("dup_key").isNull() | (F.col("dup_rows") >= ceil(found["rows"] / hot_keys))
+    short = F.octet_length(F.col("dup_key").cast("string")) <= HOT_KEY_BYTES
+    many = F.col("dup_rows") >= ceil(found["rows"] / hot_keys)
+    heavy = F.col("dup_key").isNull() | (short & many)
     hot = F.broadcast(
         keys.filter(heavy).select(F.col("dup_key").alias("hot_key"), F.lit(True).alias("hot_hit"))
     )

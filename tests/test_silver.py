@@ -99,6 +99,13 @@ def test_repeated_keys_small_cases(spark, keys, limit):
     assert sorted((r.i, r.again) for r in marked.collect()) == brute_force(rows)
 
 
+def test_long_heavy_keys_are_not_broadcast(spark):
+    rows = list(enumerate(["x" * 5000] * 6 + ["y" * 4096] * 6 + [None, None, "a", "b", "b"]))
+    df = spark.createDataFrame(rows, "i int, k string")
+    marked = mark_repeated(df, "k", "again", broadcast_bytes=0, hot_keys=10)
+    assert sorted((r.i, r.again) for r in marked.collect()) == brute_force(rows)
+
+
 def test_hot_rows_are_spread_over_reducers(spark):
     """A key with most rows must not land in one shuffle partition."""
     df = spark.range(40_000, numPartitions=16).select(
