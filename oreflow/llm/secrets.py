@@ -12,7 +12,10 @@ import functools
 import json
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +53,12 @@ ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrs
 #: Characters that stand for letters.
 LOOKALIKES = str.maketrans("4@301!5$7", "aaeoiisst")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0\d|1[0-2])[-/.]?[0-3]\d)?|[0-3]?\d[-/.][01]?\d[-/.](?:19|20)?\d\d")
-_REPEAT = re.compile(r"(.{1,8}?)\1+", re.DOTALL)
-_LONGEST = 40
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
+#: Longest unit of a repeat.
+_UNIT = 8
+_REPEAT = re.compile(r"(.)\1\1|(.{2,8}?)\2", re.DOTALL)
+#: Each further piece doubles the ways to cut.
+_FRESH = math.log10(2)
 _RANKS = {w: k + 1 for k, w in enumerate(COMMON)}
 _STEPS = frozenset(x for row in ROWS for a, b in zip(row, row[1:], strict=False) for x in (a + b, b + a))
 
@@ -72,11 +79,45 @@ def _vocabulary() -> dict[str, int]:
     return ranks
 
 
+@functools.cache
+def _ranks() -> dict[str, int]:
+    return _vocabulary() | _RANKS
+
+
 def _rank(low: str) -> int | None:
-    return _RANKS.get(low) or _vocabulary().get(low)
+    return _ranks().get(low)
+
+
+class Nearby:
+    """Words of a text of three letters or more, without those of one of its values."""
+
+    def __init__(self, counts: Counter[str]):
+        common, heads = _word_forms()
+        self.counts, self.own = counts, Counter()
+        #: Lengths and first three letters of all words there are, the vocabularies' too.
+        self.lengths = sorted(common | set(map(len, counts)))
+        self.heads = heads | {w[:3] for w in counts} if counts else heads
+
+    def without(self, value: str) -> Nearby:
+        other = copy(self)
+        other.own = _words(value)
+        return other
+
+    def __contains__(self, word: str) -> bool:
+        return self.counts[word] > self.own[word]
 
 
-def _word_cost(part: str, near: frozenset[str]) -> float | None:
+def _words(text: str) -> Counter[str]:
+    return Counter(w.lower() for w in _LETTERS.findall(text))
+
+
+@functools.cache
+def _word_forms() -> tuple[frozenset[int], frozenset[str]]:
+    words = (*_vocabulary(), *COMMON)
+    return frozenset(map(len, words)), frozenset(w[:3] for w in words)
+
+
+def _word_cost(part: str, near: Nearby) -> float | None:
     low = part.lower()
     rank, extra = _rank(low), 0.0
     if rank is None:
@@ -93,57 +134,128 @@ def _word_cost(part: str, near: frozenset[str]) -> float | None:
     return math.log10(rank + 1) + extra
 
 
-def guess_cost(value: str, near: frozenset[str] = frozenset()) -> float:
-    """Common logarithm of the guesses for a value, by its cheapest cut; `near`: words that an attacker has at hand."""
+def _date_cost(part: str) -> float | None:
+    return None if _DATE.fullmatch(part) is None else math.log10(365 * 120) if len(part) > 4 else math.log10(120)
+
+
+def _walk_cost(length: int) -> float:
+    return math.log10(50 * length)
+
+
+class _Growing:
+    """Starts in one run of pieces whose cost grows with the logarithm of their length.
+
+    Against an earlier start of the run, a later one gains most at its shortest piece; if it does not pay
+    there, it never does, and its pieces need not be looked at.
+    """
+
+    def __init__(self) -> None:
+        self.kept: list[tuple[int, float]] = []
+
+    def pays(self, start: int, best: float, unit: int, shortest: int) -> bool:
+        if any(best - b >= math.log10(((start - s) // unit + shortest) / shortest) for s, b in self.kept):
+            return False
+        self.kept.append((start, best))
+        return True
+
+
+def guess_cost(value: str, near: Nearby | frozenset[str] = frozenset(), limit: float = math.inf) -> float:
+    """Common logarithm of the guesses for a value, by its cheapest cut; `near`: words that an attacker has at hand.
+
+    Pieces are: single characters tried out (1 each); words; dates; two or more repeats of up to eight
+    characters, three in all; keyboard walks from three characters on. All but the first cost log10(2) more.
+    It is the least over all cuts. From `limit` on the result is infinite, and the rest of the
+    value is not read: costs only grow, so nothing behind the last place in reach can be cheaper.
+    """
+    near = near if isinstance(near, Nearby) else Nearby(Counter(near))
     n = len(value)
-    low = value.lower()
+    low = value.lower() if value.isascii() else [c.lower() for c in value]
+    likes = low.translate(LOOKALIKES) if value.isascii() else ""
+    most_units = min(_UNIT, n // 2) if _REPEAT.search(value) else 0
     best = [0.0] + [math.inf] * n
-    whole_at: dict[int, list[tuple[int, float]]] = {}
-    for m in _DATE.finditer(value):
-        whole_at.setdefault(m.end(), []).append((m.start(), math.log10(365 * 120) if len(m[0]) > 4 else math.log10(120)))
-    for m in _REPEAT.finditer(value):
-        if len(m[0]) >= 3:
-            unit = guess_cost(m[1], near) if len(m[1]) < n else len(m[1])
-            whole_at.setdefault(m.end(), []).append((m.start(), unit + math.log10(len(m[0]) // len(m[1]))))
-    walk = [1] * n  # length of the keyboard walk that ends here
-    for i in range(1, n):
-        if low[i - 1 : i + 1] in _STEPS:
-            walk[i] = walk[i - 1] + 1
-    fresh = math.log10(2)  # each further piece doubles the ways to cut
-    for i in range(1, n + 1):
-        # Brute force: ten guesses a character; a stretch may go on from any place before.
-        best[i] = min(best[i], best[i - 1] + 1)
-        run = walk[i - 1]
-        if run >= 3:
-            for length in range(3, min(run, _LONGEST) + 1):
-                best[i] = min(best[i], best[i - length] + math.log10(50 * length) + fresh)
-        for start in range(max(0, i - _LONGEST), i - 2):
-            if best[start] + fresh < best[i]:
-                cost = _word_cost(value[start:i], near)
-                if cost is not None:
-                    best[i] = min(best[i], best[start] + cost + fresh)
-        for start, cost in whole_at.get(i, ()):
-            best[i] = min(best[i], best[start] + cost + fresh)
-    return best[n]
+    ranks = _ranks()
+    units: dict[str, float] = {}
+    runs: dict[tuple[int, int, int], _Growing] = {}
+    walk_end, same_end = 0, [0] * (_UNIT + 1)
+    reach = 0
 
+    def grow(start: int, unit: int, last: int, shortest: int, most: int, cost: Callable[[int], float]) -> None:
+        nonlocal reach
+        run = runs.setdefault((unit, last, start % max(unit, 1)), _Growing())
+        if run.pays(start, best[start], max(unit, 1), shortest):
+            for k in range(shortest, most + 1):
+                end, total = start + k * max(unit, 1), best[start] + cost(k) + _FRESH
+                if total >= limit:
+                    break
+                if total < best[end]:
+                    best[end] = total
+                    reach = max(reach, end)
 
-def _words_without(text: str, start: int, end: int) -> frozenset[str]:
-    return frozenset(re.findall(r"[^\W\d_]{3,}", (text[:start] + " " + text[end:]).lower()))
+    for start in range(n):
+        if start > reach:
+            return math.inf
+        here = best[start]
+        if here >= limit:
+            continue
+        if here + 1 < min(best[start + 1], limit):
+            best[start + 1] = here + 1
+            reach = max(reach, start + 1)
+        for k in near.lengths if not likes or low[start : start + 3] in near.heads or likes[start : start + 3] in near.heads else ():
+            if start + k > n:
+                break
+            if likes and low[start : start + k] not in ranks and likes[start : start + k] not in ranks and low[start : start + k] not in near.counts:
+                continue
+            cost = _word_cost(value[start : start + k], near)
+            if cost is not None and here + cost + _FRESH < min(best[start + k], limit):
+                best[start + k] = here + cost + _FRESH
+                reach = max(reach, start + k)
+        if value[start].isdecimal() and start + 4 <= n:
+            for k in range(4, min(10, n - start) + 1):
+                cost = _date_cost(value[start : start + k])
+                if cost is not None and here + cost + _FRESH < min(best[start + k], limit):
+                    best[start + k] = here + cost + _FRESH
+                    reach = max(reach, start + k)
+        for unit in range(1, most_units + 1):
+            end = max(same_end[unit], start)
+            while end + unit < n and value[end] == value[end + unit]:
+                end += 1
+            same_end[unit] = end
+            most, shortest = (end - start) // unit + 1, 3 if unit == 1 else 2
+            if most >= shortest:
+                text = value[start : start + unit]
+                if text not in units:
+                    units[text] = guess_cost(text, near)
+                whole = units[text]
+                grow(start, unit, end, shortest, most, lambda k, whole=whole: whole + math.log10(k))
+        walk_end = max(walk_end, start + 1)
+        while walk_end < n and low[walk_end - 1] + low[walk_end] in _STEPS:
+            walk_end += 1
+        if walk_end - start >= 3:
+            grow(start, 0, walk_end, 3, walk_end - start, _walk_cost)
+    return best[n]
 
 
 def spans_of(text: str, guesses: float = GUESSES) -> list[tuple[str, int, int]]:
-    """Spans of secrets in ascending order of start, then kind as in KINDS; ends are exclusive, places count code points."""
+    """Spans of secrets in ascending order of start, then kind as in KINDS; ends are exclusive, places count code points.
+
+    A value of a credential context that meets a span by pattern is not judged by cost.
+    """
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = list(found)
+    starts, ends = sorted(s for _, s, _ in found), [0]
+    for _, _, end in sorted(found, key=lambda x: x[1]):
+        ends.append(max(ends[-1], end))
+    words = None
     for m in CONTEXT.finditer(text):
         a, b = m.span(1)
         value = text[a:b].rstrip(".:!?")
         b = a + len(value)
-        if any(s < b and a < e for _, s, e in base):
+        if ends[bisect_left(starts, b)] > a:
             continue
-        if guess_cost(value, _words_without(text, a, b)) >= guesses:
+        if words is None:
+            words = Nearby(_words(text))
+        if guess_cost(value, words.without(value), guesses) >= guesses:
             found.append(("guess", a, b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -172,6 +284,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Kinds: `assign`, `access` and `hex` by pattern, `guess` by cost. Null and empty texts have none.
     Each row stands for itself; ids are passed on as they are, repeated or null; further columns are ignored.
+    Long texts are read whole, their words counted once; the time grows with their length.
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("spans", T.ArrayType(SPAN))])
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_find, schema)

@@ -1,6 +1,10 @@
 """Secrets, surrogates, preference pairs, the passage network and the pipeline."""
 
+import math
+import random
 import re
+import time
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -9,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from oreflow.llm import passage_attention, queries, surrogates
+from oreflow.llm import passage_attention, queries, secrets, surrogates
 from oreflow.llm.preferences import preference_rows, swapped, turns_of
 from oreflow.llm.secrets import find_secrets, guess_cost, spans_of
 from oreflow.llm.surrogates import Keyed, canonical, entities, rendered, replace_entities, surrogate
@@ -51,6 +55,51 @@ def test_plain_words_are_no_secrets():
     assert spans_of("the thndrezq is here, pwd: thndrezq") == []
 
 
+def cheapest_cut(value, near):
+    """guess_cost by its definition: all cuts of a value into pieces."""
+    words, best = secrets.Nearby(Counter(near)), [0.0] + [math.inf] * len(value)
+    for j in range(1, len(value) + 1):
+        best[j] = best[j - 1] + 1
+        for i in range(j - 2):
+            part = value[i:j]
+            costs = [secrets._word_cost(part, words), secrets._date_cost(part)]
+            if all(part.lower()[k : k + 2] in secrets._STEPS for k in range(len(part) - 1)):
+                costs.append(math.log10(50 * len(part)))
+            for unit in range(1, 9):
+                times, rest = divmod(len(part), unit)
+                if times > 1 and not rest and part == part[:unit] * times:
+                    costs.append(cheapest_cut(part[:unit], near) + math.log10(times))
+            best[j] = min([best[j], *(best[i] + c + math.log10(2) for c in costs if c is not None)])
+    return best[-1]
+
+
+def test_guess_cost_is_the_least():
+    draw, near = random.Random(7), frozenset(["thndre", "rtyabc"])
+    pieces = ["qwe", "rty", "abc", "pass", "word", "19", "20", "12", "aa", "1q2w", "horse", "X", "$", "thndre", "123", "p@ss", "É", "2024", "-", "."]
+    alphabets = ["0129/-.", "ab", "qwertyasdf123", "x9$Lk2#vQ8zE"]
+    values = ["19061232028", "", "a", "aaa", "thndrethndre"]
+    values += ["".join(draw.choice(a) for _ in range(draw.randint(1, 14))) for a in alphabets for _ in range(600)]
+    values += ["".join(draw.choice(pieces) for _ in range(draw.randint(1, 6))) for _ in range(700)]
+    for value in values:
+        least = cheapest_cut(value, near)
+        assert guess_cost(value, near) == pytest.approx(least, abs=1e-9)
+        assert abs(least - 7.4) < 1e-9 or (guess_cost(value, near, 7.4) >= 7.4) == (least >= 7.4)
+
+
+def test_long_words_walks_and_values_are_read_whole():
+    word = "quillonbar" * 6
+    assert guess_cost(word, frozenset([word])) < 4 and guess_cost("".join(a + b for a, b in zip("q" * 40, "w" * 40, strict=True))) < 5
+    for value in ("ab" * 100_000, "qwerty" * 30_000, "x9$Lk2#v" * 20_000 + "q", "horse" * 40_000):
+        assert guess_cost(value, limit=7.4) >= 7.4 or len(set(value)) < 7
+
+
+def test_many_values_of_one_text_take_linear_time():
+    text = "".join(f"pwd: {k}x9$Lk2#vQ8z and words\n" for k in range(15_000))
+    started = time.process_time()
+    found = spans_of(text)
+    assert len(found) == 15_000 and time.process_time() - started < 20
+
+
 def test_secret_frames(spark):
     schema = "doc_id long, text string, spans string"
     rows = [(1, None, "x"), (1, "", "x"), (None, "secret=12345678", "x"), (2, "clean " * 50_000 + "token: abcdefgh", "x")]
