@@ -1,9 +1,10 @@
 """Personal data replaced by surrogates: keyed, of the same kind and form, distinct, and the same everywhere.
 
 E-mail addresses, phone, card and social-security numbers, IP addresses, bank accounts (IBAN) and
-names after a title, with further mentions of the same names in that text, are found. A surrogate is a keyed permutation of the values of the
+names after a title, with further mentions of the same names in that text, are found. One full name is one
+person: a title that tells no gender takes that of another mention, in whatever document. A surrogate is a keyed permutation of the values of the
 same form (Feistel rounds over a keyed hash), so two different values never get one surrogate by the
-permutation itself: digits stay digits, letters letters of their case and script, check digits are made to
+permutation itself: digits stay digits, letters letters of their case and of their own script, check digits are made to
 fit, a title keeps its gender. One value has one surrogate in all documents, whatever the marks it
 is written with. Surrogates that are themselves values of the corpus, and those that two values share
 (only names can), are found by joins and drawn anew until none is left.
@@ -11,10 +12,11 @@ is written with. Surrogates that are themselves values of the corpus, and those
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -54,13 +56,16 @@ SYLLABLES = {
     "greek": "βα γε δα δη θε κα κο λα λε μα μη να νι πα πο ρα ρο σα τα το".split(),
 }
 _GENDER = {t: g for g, names in TITLES.items() for t in names}
-_KNOWN = {n: g for (g, _), names in GIVEN.items() for n in names}
+_KNOWN = {n.lower(): g for (g, _), names in GIVEN.items() for n in names}
 # A possessive ending is no part of a name.
 _NAME = r"[^\W\d_]+(?:-[^\W\d_]+|['’](?![sS](?!\w))[^\W\d_]+)*"
 _WORD = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 _CAPITALS = "".join(c for c in map(chr, range(0x110000)) if c.isupper())
 
-EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])"
+_LOCAL_START = r"(?<![\w.+-])[A-Za-z0-9]"
+_LOCAL = r"[A-Za-z0-9._%+-]"
+_HOST = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])"
+EMAIL = f"{_LOCAL_START}{_LOCAL}*{_HOST}"
 IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -72,7 +77,11 @@ CARD = r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _TITLE = "(?:" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")\.?[ \u00A0]"
 # Words with a capital, up to the next title.
 PERSON = rf"(?<!\w)(?:{_TITLE}){{1,3}}(?P<names>(?=[{_CAPITALS}]){_NAME}(?:[ \u00A0](?!{_TITLE})(?=[{_CAPITALS}]){_NAME})*)"
-FOUND = re.compile(f"(?P<email>{EMAIL})|(?P<iban>{IBAN})|(?P<ssn>{SSN})|(?P<ip>{IP})|(?P<phone>{PHONE})|(?P<card>{CARD})|(?P<person>{PERSON})")
+_OTHERS = f"(?P<iban>{IBAN})|(?P<ssn>{SSN})|(?P<ip>{IP})|(?P<phone>{PHONE})|(?P<card>{CARD})|(?P<person>{PERSON})"
+#: All that is found. Texts are searched with e-mail addresses apart (`_found`): here each `%` starts a scan of its own.
+FOUND = re.compile(f"(?P<email>{EMAIL})|{_OTHERS}")
+_NOT_EMAIL = re.compile(_OTHERS)
+_LOCAL_RUN, _START, _HOST_AT = re.compile(f"{_LOCAL}+"), re.compile(_LOCAL_START), re.compile(_HOST)
 #: Texts without any of these have nothing to replace: each alternative of FOUND needs one of them.
 _ANY = r"@|\p{Nd}{3}|\p{Nd}\.\p{Nd}+\.|\+\p{Nd}|[A-Z]{2}\p{Nd}{2} ?[A-Z0-9]{4}|(?:\p{Nd}[ -]?){12}\p{Nd}|" + "|".join(f"{t}\\.?[ \u00A0]" for t in _GENDER)
 
@@ -91,8 +100,24 @@ def _iban_checks(country: str, rest: str) -> str:
 
 
 def script_of(word: str) -> str:
-    first = ord(word[0])
-    return "cyrillic" if 0x400 <= first < 0x530 else "greek" if 0x370 <= first < 0x400 else "latin"
+    """The script of the first letter: the first word of its name."""
+    return unicodedata.name(word[0], "").partition(" ")[0].lower()
+
+
+def _group(letter: str) -> str:
+    """Script and sort of a small letter, by its name; those without one capital are apart."""
+    plain = len(letter.upper()) == 1 and letter.upper() != letter
+    return " ".join(unicodedata.name(letter, "").split(" ")[:2]) + (" *" if not plain else "")
+
+
+@functools.cache
+def _alphabets() -> dict[str, str]:
+    """Small letters, and letters without case, by group."""
+    letters: dict[str, list[str]] = {}
+    for c in map(chr, range(0x110000)):
+        if c.isalpha() and c == c.lower():
+            letters.setdefault(_group(c), []).append(c)
+    return {group: "".join(own) for group, own in letters.items()}
 
 
 class Keyed:
@@ -138,13 +163,20 @@ class Keyed:
         a, b = iter(letters), iter(digits)
         return "".join(next(a) if c == "a" else next(b) if c == "9" else c for c in shape)
 
+    def letters(self, value: str, tweak: str) -> str:
+        """Small letters permuted in their places, those of each script among themselves; other characters stay."""
+        scripts = [_group(c) if c.isalpha() and c == c.lower() else "" for c in value]
+        rest = {}
+        for script in sorted(set(scripts) - {""}):
+            own = "".join(c for c, x in zip(value, scripts, strict=True) if x == script)
+            rest[script] = iter(self.text(own, _alphabets()[script], f"{tweak}|{','.join(scripts)}"))
+        return "".join(next(rest[x]) if x else c for c, x in zip(value, scripts, strict=True))
+
     def digits_where(self, value: str, tweak: str, fits) -> str:
-        """Digits permuted among those that fit, by walking the cycle."""
-        out = value
-        for _ in range(10_000):
+        """Digits permuted among those that fit, by walking the cycle; it comes back to the value, which fits."""
+        out = self.text(value, "0123456789", tweak)
+        while not fits(out):
             out = self.text(out, "0123456789", tweak)
-            if fits(out):
-                return out
         return out
 
 
@@ -209,6 +241,10 @@ def surrogate(kind: str, value: str, draw: int, keyed: Keyed) -> str:
         order = sorted(range(len(listed)), key=lambda k: keyed.number(kind, script, k))
         at = listed.index(value)
         return listed[order[(order.index(at) + 1) % len(order)]]
+    if script not in SYLLABLES:
+        alphabet = _alphabets().get(_group(value[0]), "")
+        grown = [alphabet[keyed.number(tweak, value, k) % len(alphabet)] for k in range(max(0, draw + 1 - GROWING_DRAW))] if alphabet else []
+        return keyed.letters(value, tweak) + "".join(grown)
     syllables = SYLLABLES[script]
     x = keyed.number(tweak, value)
     count = 2 if role == "given" else 4
@@ -274,38 +310,75 @@ def _mentions(text: str, taken: list[tuple[int, int, str]], persons: list[list[t
                             yield w.start() + x.start(), w.start() + x.end(), alone[x[0].lower()]
 
 
-def entities(text: str) -> list[tuple[int, int, str]]:
+def _found(text: str) -> Iterator[tuple[int, int, str, re.Match | None]]:
+    """Start, end, kind and, but for e-mail addresses, match of what FOUND finds, in time that grows with the text.
+
+    Addresses are searched from their `@` on: characters that may stand before it are looked at once.
+    """
+    emails = []
+    if "@" in text:
+        for run in _LOCAL_RUN.finditer(text):
+            host = _HOST_AT.match(text, run.end())
+            if host:
+                emails.append((run.start(), run.end(), host.end()))
+    at, k, other = 0, 0, _NOT_EMAIL.search(text)
+    while True:
+        start = None
+        while k < len(emails) and start is None:
+            first = _START.search(text, max(at, emails[k][0]), emails[k][1]) if at < emails[k][1] else None
+            if first is None:
+                k += 1
+            else:
+                start = first.start()
+        if start is not None and (other is None or start <= other.start()):
+            at = emails[k][2]
+            yield start, at, "email", None
+        elif other is not None:
+            at = other.end()
+            yield other.start(), at, other.lastgroup if other.lastgroup != "names" else "person", other
+        else:
+            return
+        if other is not None and other.start() < at:
+            other = _NOT_EMAIL.search(text, at)
+
+
+def entities(text: str, told: Callable[[str], str | None] = lambda name: None, full: dict | None = None) -> list[tuple[int, int, str]]:
     """Start, end and kind of what is to be replaced, in order.
 
     A person named after a title is found again without it, by full name or by any of the names, if
-    written with a capital.
+    written with a capital. A title that tells no gender takes that of another mention of the full name
+    in the text, or else what `told` says of it. `full` is filled with the full names
+    (in small letters, with blanks) by gender that titles tell, and with those, under "n", of which the text tells none.
     """
     out, people = [], []
-    for m in FOUND.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "names" else "person"
+    for start, end, kind, m in _found(text):
         if kind == "card" and len(re.sub(r"\D", "", m[0])) < 13:
             continue
         if kind != "person":
-            out.append((m.start(), m.end(), kind))
+            out.append((start, end, kind))
             continue
         at = m.start("names")
-        told = [_GENDER[w] for w in re.findall(r"\w+", text[m.start() : at])]
+        titles = [_GENDER[w] for w in re.findall(r"\w+", text[m.start() : at])]
         names = [(at + w.start(), at + w.end(), w[0]) for w in re.finditer(r"\S+", m["names"])]
-        people.append((next((g for g in told if g != "n"), "n"), names))
+        people.append((next((g for g in titles if g != "n"), "n"), names))
     if not people:
         return out
-    # A title that tells no gender takes that of another mention of the full name.
     genders = {}
     for gender, names in people:
         if gender != "n":
             genders.setdefault(tuple(n.lower() for *_, n in names), gender)
     persons = []
     for gender, names in people:
-        gender = gender if gender != "n" else genders.get(tuple(n.lower() for *_, n in names), "n")
+        whole = tuple(n.lower() for *_, n in names)
+        gender = gender if gender != "n" else genders.get(whole, "n")
+        if full is not None:
+            full.setdefault(gender, set()).add(" ".join(whole))
+        if gender == "n":
+            gender = told(" ".join(whole)) or "n"
         person = []
         for k, (a, b, name) in enumerate(names):
-            given = k < len(names) - 1 or name in _KNOWN
-            own = gender if gender != "n" else _KNOWN.get(name, "n")
+            given = k < len(names) - 1 or name.lower() in _KNOWN
+            own = gender if gender != "n" else _KNOWN.get(name.lower(), "n")
             person.append((name.lower(), f"given_{own}" if given else "family_n"))
             out.append((a, b, person[-1][1]))
         persons.append(person)
@@ -313,16 +386,25 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     return sorted([*out, *_mentions(text, out, persons)])
 
 
+#: Kinds of the rows that hold full names, by gender; in the order of the alphabet what is told comes first.
+_TOLD = {"f": "told_f", "m": "told_m", "n": "untold"}
+_GENDERS = {1: "f", 2: "m"}
+
+
 def _may(texts: pa.Array) -> np.ndarray:
     return np.flatnonzero(pc.match_substring_regex(texts.fill_null(""), _ANY).to_numpy(zero_copy_only=False))
 
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Kinds and values; also full names by the gender that titles tell (told_f, told_m) or do not (untold)."""
     for batch in (part for whole in batches for part in slices(whole, 0, 4 << 20)):
-        texts = batch.column(0)
-        own = [(kind, canonical(kind, t[a:b])) for k in _may(texts) for t in (texts[int(k)].as_py(),) for a, b, kind in entities(t)]
-        found = sorted(set(own))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["kind", "value"])
+        texts, found = batch.column(0), set()
+        for k in _may(texts):
+            text, full = texts[int(k)].as_py(), {}
+            found.update((kind, canonical(kind, text[a:b])) for a, b, kind in entities(text, full=full))
+            found.update((_TOLD[gender], name) for gender, names in full.items() for name in names)
+        rows = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.string()) for i in (0, 1)], names=["kind", "value"])
 
 
 def _draw(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
@@ -334,39 +416,46 @@ def _draw(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBa
 
 
 def redrawn(texts: DataFrame, key: bytes) -> DataFrame:
-    """kind, value and draw (from 1) of the values whose first surrogate was taken.
+    """kind, value and draw (from 1) of the values whose first surrogate was taken, and the genders of persons.
 
-    Taken: it is a value of the corpus itself, or a smaller value has it. Values are counted once each,
-    combined before their shuffle. Rounds go on until no value is left to draw for.
+    Taken: it is a value of the corpus itself, or another value has it, a smaller one or one of an
+    earlier draw. All names, given or not, are in one space. Values are counted once each,
+    combined before their shuffle. Rounds go on until no value is left to draw for. Rows of the kind `told` say
+    of a full name that some title tells no gender of, but another title anywhere does, which it is:
+    draw 1 for f, also where both are told, and 2 for m.
     """
     pair = T.StructType([T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())])
     made = T.StructType([*pair.fields, T.StructField("draw", T.IntegerType()), T.StructField("surrogate", T.StringType())])
-    values = staged(texts.mapInArrow(_values, pair).distinct(), "entities")
+    found = staged(texts.mapInArrow(_values, pair).distinct(), "entities")
+    told = found.where(F.col("kind").isin(*_TOLD.values())).groupBy("value").agg(F.min("kind").alias("least"), F.max("kind").alias("most"))
+    told = told.where(F.col("most") == _TOLD["n"]).where(F.col("least") != _TOLD["n"])
+    told = told.select(F.lit("told").alias("kind"), "value", F.when(F.col("least") == _TOLD["f"], 1).otherwise(2).alias("draw"))
+    values = found.where(~F.col("kind").isin(*_TOLD.values()))
     table = values.select("kind", "value", F.lit(0).alias("draw"))
-    real = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
+    space = F.when(F.col("kind").rlike("^(given|family)_"), "name").otherwise(F.col("kind"))
+    real = values.select(space.alias("space"), F.col("value").alias("surrogate"), F.lit(True).alias("real")).distinct()
     while True:
         drawn = staged(table.mapInArrow(partial(_draw, key=key), made), "surrogates")
-        first = Window.partitionBy("kind", "surrogate").orderBy("draw", "value")
-        listed = F.col("kind").startswith("given") & (F.col("draw") == 0)
-        checked = drawn.join(real, ["kind", "surrogate"], "left").withColumn("place", F.row_number().over(first))
-        taken = (F.col("place") > 1) | (F.col("real").isNotNull() & ~listed)
+        first = Window.partitionBy("space", "surrogate").orderBy("draw", "value", "kind")
+        checked = drawn.withColumn("space", space).join(real, ["space", "surrogate"], "left").withColumn("place", F.row_number().over(first))
+        taken = (F.col("place") > 1) | F.col("real").isNotNull()
         table = staged(checked.select("kind", "value", (F.col("draw") + taken.cast("int")).alias("draw"), taken.alias("taken")), "draws")
         if table.where("taken").isEmpty():
-            return table.where("draw > 0").select("kind", "value", "draw")
+            return table.where("draw > 0").select("kind", "value", "draw").unionByName(told)
         table = table.select("kind", "value", "draw")
 
 
-def _replace(batches: Iterator[pa.RecordBatch], key: bytes, text_at: int, few, drawn_at: int | None, keep: list[int]) -> Iterator[pa.RecordBatch]:
+def _replace(batches: Iterator[pa.RecordBatch], key: bytes, text_at: int, few, drawn_at: int | None, keep: list[int], count: str) -> Iterator[pa.RecordBatch]:
     keyed, known = Keyed(key), {}
     for batch in (part for whole in batches for part in slices(whole, text_at, 4 << 20)):
         texts = batch.column(text_at)
         may, counts, values = _may(texts), np.zeros(len(texts), np.int64), None
         for k in may.tolist():
             text = texts[k].as_py()
-            found = entities(text)
+            draws = few.value if drawn_at is None else {(x["kind"], x["value"]): x["draw"] for x in batch.column(drawn_at)[k].as_py() or ()}
+            found = entities(text, lambda name, draws=draws: _GENDERS.get(draws.get(("told", name))))
             if not found:
                 continue
-            draws = few.value if drawn_at is None else {(x["kind"], x["value"]): x["draw"] for x in batch.column(drawn_at)[k].as_py() or ()}
             out, at = [], 0
             for a, b, kind in found:
                 value = canonical(kind, text[a:b])
@@ -382,39 +471,55 @@ def _replace(batches: Iterator[pa.RecordBatch], key: bytes, text_at: int, few, d
             values[k] = "".join([*out, text[at:]])
             counts[k] = len(found)
         columns = [batch.column(i) if i != text_at or values is None else pa.array(values, texts.type) for i in keep]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=[*(batch.schema.names[i] for i in keep), COUNT])
-
-
-COUNT = "__n_entities"
-_DRAWN = "__drawn"
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=[*(batch.schema.names[i] for i in keep), count])
 
 
 def _values_by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What may be asked for a text: its values, its persons without a gender, and their names as of either."""
     for batch in (part for whole in batches for part in slices(whole, 1, 4 << 20)):
-        texts = batch.column(1)
-        own = sorted({(batch.column(0)[int(k)].as_py(), kind, canonical(kind, t[a:b])) for k in _may(texts) for t in (texts[int(k)].as_py(),) for a, b, kind in entities(t)})
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in own], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))], names=["print", "kind", "value"])
+        texts, found = batch.column(1), set()
+        for k in _may(texts):
+            mark, text, full = batch.column(0)[int(k)].as_py(), texts[int(k)].as_py(), {}
+            found.update((mark, kind, canonical(kind, text[a:b])) for a, b, kind in entities(text, full=full))
+            for name in full.get("n", ()):
+                found.add((mark, "told", name))
+                found.update((mark, f"given_{gender}", part) for gender in "fm" for part in name.split(" "))
+        rows = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))], names=["print", "kind", "value"])
 
 
 def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """The documents with personal data in their texts replaced; all other columns and rows stay as they are.
 
-    `key` decides the surrogates: the same key gives the same ones. `count_col` adds the number of
-    places replaced. Null and empty texts stay; repeated rows get equal texts.
+    `key` decides the surrogates: the same key gives the same ones. `count_col`, a name that the documents
+    do not have, adds the number of places replaced. Null and empty texts stay; repeated rows get equal texts. Of values
+    that draw one surrogate the one of the earlier draw keeps it, then the smaller. Texts are read whole, in time that
+    grows with their length.
     """
-    drawn = redrawn(docs.select(F.col(f"`{text_col}`").alias("text")), key)
     names = docs.columns
+    if count_col in names:
+        raise ValueError(f"the documents have a column {count_col} already")
+    drawn = staged(redrawn(docs.select(F.col(f"`{text_col}`").alias("text")), key), "drawn")
     n = drawn.count()
     rows, few, drawn_at = docs, None, None
     if n <= SMALL_REDRAWN:
         few = docs.sparkSession.sparkContext.broadcast({(r.kind, r.value): r.draw for r in drawn.collect()})
     else:
+        mark, list_of = _free_name(names, "print"), _free_name(names, "drawn")
         text = F.col(f"`{text_col}`")
         schema = T.StructType([T.StructField("print", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())])
         prints = docs.select(F.xxhash64(text).alias("print"), text.alias("text")).mapInArrow(_values_by_text, schema)
-        by_text = prints.join(drawn, ["kind", "value"]).distinct().groupBy("print").agg(F.collect_list(F.struct("kind", "value", "draw")).alias(_DRAWN))
-        rows = docs.withColumn("__print", F.xxhash64(text)).join(by_text.withColumnRenamed("print", "__print"), "__print", "left").select(*[F.col(f"`{c}`") for c in names], _DRAWN)
+        by_text = prints.distinct().join(drawn, ["kind", "value"]).groupBy(F.col("print").alias(mark)).agg(F.collect_list(F.struct("kind", "value", "draw")).alias(list_of))
+        rows = docs.withColumn(mark, F.xxhash64(text)).join(by_text, mark, "left").select(*[F.col(f"`{c}`") for c in names], list_of)
         drawn_at = len(names)
-    schema = T.StructType([*docs.schema.fields, T.StructField(COUNT, T.LongType())])
-    out = rows.mapInArrow(partial(_replace, key=key, text_at=names.index(text_col), few=few, drawn_at=drawn_at, keep=list(range(len(names)))), schema)
-    return out.withColumnRenamed(COUNT, count_col) if count_col else out.drop(COUNT)
+    count = count_col or _free_name(names, "n_entities")
+    schema = T.StructType([*docs.schema.fields, T.StructField(count, T.LongType())])
+    out = rows.mapInArrow(partial(_replace, key=key, text_at=names.index(text_col), few=few, drawn_at=drawn_at, keep=list(range(len(names))), count=count), schema)
+    return out if count_col else out.drop(count)
+
+
+def _free_name(names: list[str], name: str) -> str:
+    taken = {n.lower() for n in names}
+    while name in taken:
+        name += "_"
+    return name

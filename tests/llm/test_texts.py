@@ -193,6 +193,77 @@ def test_collisions_are_drawn_anew(spark):
     assert len(set(made)) == len(made) and not set(made) & {v for _, v in values}
 
 
+@pytest.mark.parametrize("small", [50_000, -1])
+def test_one_person_has_one_surrogate_and_no_name_of_the_corpus_is_one(spark, monkeypatch, small):
+    monkeypatch.setattr(surrogates, "SMALL_REDRAWN", small)
+    texts = ["Dr. Bagane Moralo spoke.", "Ms. Vera Polk and Ms. Bagane Moralo", "Prof. BAGANE MORALO left", "Dr. Alex Hall", "Mr. Alex Hall", "Dr. Kim Oru", "Bagane Moralo"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in replace_entities(docs, KEY).collect()}
+    person, other = re.match(r"Ms\. \w+ \w+ and Ms\. (\w+ \w+)$", got[1])[1], re.match(r"Mr\. (\w+ \w+)$", got[4])[1]
+    assert got[0] == f"Dr. {person} spoke." and got[2] == f"Prof. {person.upper()} left" and got[3] == f"Dr. {other}" and got[6] == texts[6]
+    assert not {w.lower() for t in list(got.values())[:6] for w in re.findall(r"\w+", t)} & set("bagane moralo vera polk alex hall kim oru".split())
+
+
+def test_surrogates_of_many_documents_against_all_pairs(spark):
+    draw = random.Random(3)
+    given = [n for names in surrogates.GIVEN.values() for n in names] + [a + b for a in surrogates.SYLLABLES["latin"][:5] for b in ("na", "n", "ro")]
+    family = [a + b for a in ("Mora", "Poli", "Hal", "Vera") for b in ("lo", "s", "")]
+    people = [(draw.choice(["Mr", "Ms", "Dr", "Prof"]), draw.choice(given).capitalize(), draw.choice(family)) for _ in range(400)]
+    texts = [f"{a[0]}. {a[1]} {a[2]} met {b[0]}. {b[1]} {b[2]}" for a, b in zip(people[::2], people[1::2], strict=True)]
+    got = {r.doc_id: r.text for r in replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), KEY).collect()}
+    told = {p[1:]: {q[0] for q in people if q[1:] == p[1:]} & {"Mr", "Ms"} for p in people}
+    made: dict[tuple, set] = {}
+    for k, text in enumerate(texts):
+        for old, new in zip(text.split(" met "), got[k].split(" met "), strict=True):
+            (title, *name), (kept, *names) = old.replace(".", "").split(), new.replace(".", "").split()
+            assert title == kept
+            own = told[tuple(name)]
+            made.setdefault((*name, "Ms" if title in ("Dr", "Prof") and "Ms" in own else title if title in ("Mr", "Ms") else "Mr" if own else "-"), set()).add(tuple(names))
+    assert {k: x for k, x in made.items() if len(x) != 1} == {}
+    real, seen = {n.lower() for p in people for n in p[1:]}, {n.lower() for x in made.values() for names in x for n in names}
+    assert not real & seen
+    by_full = {}
+    for (*name, _), x in made.items():
+        for names in x:
+            by_full.setdefault(names, set()).add(tuple(name))
+    assert all(len(x) == 1 for x in by_full.values())
+
+
+def test_letters_stay_in_their_script():
+    for text, script in (("Dr Արամ Պետրոսյան", "armenian"), ("Dr Ⴀⴀⴁ Ⴁⴀⴃ", "georgian"), ("Dr Ａｂｃ Ｄｅ", "fullwidth")):
+        title, *names = changed(text).split()
+        assert title == "Dr" and names != text.split()[1:] and [len(n) for n in names] == [len(n) for n in text.split()[1:]]
+        assert {surrogates.script_of(c) for n in names for c in n} == {script} and all(n[0].isupper() and n[1:].islower() for n in names)
+    keyed = Keyed(KEY)
+    made = {surrogate("family_n", a + b, 0, keyed) for a in surrogates._alphabets()["ARMENIAN SMALL"] for b in "աբգդ"}
+    assert len(made) == 4 * len(surrogates._alphabets()["ARMENIAN SMALL"]) and len(surrogate("family_n", "ա", 13, keyed)) == 3
+
+
+def test_addresses_are_found_from_their_mark():
+    draw = random.Random(11)
+    parts = ["a", "b.c", "%", "@", "x.org", " ", "+1-632-555-4827", "Mr. Ann", "é", "-", "123-45-6789", "_", ".", "%41"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(1, 9)))
+        whole = [(m.start(), m.end(), m.lastgroup if m.lastgroup != "names" else "person") for m in surrogates.FOUND.finditer(text)]
+        assert [x[:3] for x in surrogates._found(text)] == whole
+    started = time.process_time()
+    assert [k for *_, k in entities("%E3%81%82" * 450_000 + " x@y.org " + "a@" * 100_000)] == ["email"]
+    assert time.process_time() - started < 10
+
+
+def test_cycles_are_walked_to_their_end():
+    keyed, value = Keyed(KEY), "00042"
+    assert keyed.digits_where(value, "t", lambda d: d == value) == value
+
+
+def test_surrogate_columns_that_clash(spark):
+    docs = spark.createDataFrame([(1, "x@y.org", 5, "p", 2)], "doc_id int, text string, n_entities int, print string, drawn int")
+    with pytest.raises(ValueError):
+        replace_entities(docs, KEY, count_col="n_entities")
+    row = replace_entities(docs, KEY).first()
+    assert (row.n_entities, row["print"], row.drawn) == (5, "p", 2) and row.text != "x@y.org"
+
+
 @pytest.mark.parametrize("small", [50_000, -1])
 def test_surrogate_frames(spark, monkeypatch, small):
     monkeypatch.setattr(surrogates, "SMALL_REDRAWN", small)
