@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.batches import Words, by_text, slices, text_buffers
+from oreflow.llm.batches import Words, by_text, lean, slices, text_buffers
 from oreflow.llm.fm_index import FMIndex
 from oreflow.session import staged
 
@@ -30,7 +30,7 @@ _WORDS = Words([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7
 #: Bytes of text of the items in one block, which is sent to all executors.
 BLOCK_BYTES = 4 << 20
 #: Bytes of text in one shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 class Windows:
@@ -88,25 +88,33 @@ def merged_spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], ends[last]], axis=1)
 
 
+def _hits(texts: pa.Array, windows: Windows, spans: list[list[int] | None]) -> tuple[np.ndarray, dict[int, set[str]]]:
+    """Words of each text, and items of those hit; the spans found are merged into `spans`."""
+    hashes, firsts = _WORDS.hashes(*text_buffers(texts))
+    places, found = windows.find(hashes, firsts)
+    own = by_text(firsts)[places] if len(places) else places
+    order = np.argsort(own, kind="stable")
+    own, places, found = own[order], places[order], found[order]
+    edges = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else own
+    items = {}
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)], strict=False):
+        k = int(own[a])
+        starts, old = places[a:b] - firsts[k], np.array(spans[k] or [], np.int64).reshape(-1, 2)
+        ends = starts + windows.lengths[found[a:b]]
+        spans[k] = merged_spans(np.concatenate([old[:, 0], starts]), np.concatenate([old[:, 1], ends])).ravel().tolist()
+        items[k] = {windows.item_ids[i] for w in np.unique(found[a:b]) for i in windows.item_numbers[windows.item_starts[w] : windows.item_starts[w + 1]]} - {None}
+    return np.diff(firsts), items
+
+
+@lean
 def _search(batches: Iterator[pa.RecordBatch], block: Broadcast, last: bool) -> Iterator[pa.RecordBatch]:
-    windows: Windows = block.value
     for batch in (part for whole in batches for part in slices(whole, 1, SHARD_BYTES)):
-        hashes, firsts = _WORDS.hashes(*text_buffers(batch.column(1)))
-        places, found = windows.find(hashes, firsts)
         spans, items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        texts = by_text(firsts)[places] if len(places) else places
-        order = np.argsort(texts, kind="stable")
-        texts, places, found = texts[order], places[order], found[order]
-        edges = np.flatnonzero(np.append(True, texts[1:] != texts[:-1])) if len(texts) else texts
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(texts)], strict=False):
-            k = int(texts[a])
-            starts = places[a:b] - firsts[k]
-            old = np.array(spans[k], np.int64).reshape(-1, 2)
-            spans[k] = merged_spans(np.concatenate([old[:, 0], starts]), np.concatenate([old[:, 1], starts + windows.lengths[found[a:b]]])).ravel().tolist()
-            own = {windows.item_ids[i] for w in np.unique(found[a:b]) for i in windows.item_numbers[windows.item_starts[w] : windows.item_starts[w + 1]]}
-            items[k] = sorted({*items[k], *(i for i in own if i is not None)})
+        n_words, hit = _hits(batch.column(1), block.value, spans)
+        for k, own in hit.items():
+            items[k] = sorted({*items[k], *own})
         text = [] if last else [batch.column(1)]
-        columns = [batch.column(0), *text, pa.array(np.diff(firsts), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+        columns = [batch.column(0), *text, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *["text"] * (not last), "n_words", "spans", "items"])
 
 
@@ -148,34 +156,50 @@ def find_passages(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
     return rows.mapInArrow(partial(_search, block=spark.sparkContext.broadcast(waiting), last=True), T.StructType(out[:1] + out[2:]))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text_at: int, spans_at: int, keep: list[int]) -> Iterator[pa.RecordBatch]:
+def _without(text: str, own: list[int]) -> str:
+    raw = text.encode()
+    starts, ends = _WORDS.spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    edges = [0, *(int(x) for a, b in zip(own[::2], own[1::2], strict=True) for x in (starts[a], ends[b - 1])), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
+
+
+@lean
+def _cut(batches: Iterator[pa.RecordBatch], block: Broadcast, text_at: int, spans_at: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """Whole rows with the spans of one more block of items; at the last one the words go, and so do the spans."""
     for batch in (part for whole in batches for part in slices(whole, text_at, SHARD_BYTES)):
-        texts, spans = batch.column(text_at), batch.column(spans_at).to_pylist()
+        texts, names = batch.column(text_at), batch.schema.names
+        spans = batch.column(spans_at).to_pylist() if spans_at < batch.num_columns else [None] * batch.num_rows
+        _hits(texts, block.value, spans)
+        columns = batch.columns[:spans_at]
+        if not last:
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, pa.list_(pa.int32()))], names=[*names[:spans_at], SPANS])
+            continue
         if any(spans):
             values = texts.to_pylist()
             for k, own in enumerate(spans):
                 if own:
-                    raw = values[k].encode()
-                    starts, ends = _WORDS.spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                    edges = [0, *(int(x) for a, b in zip(own[::2], own[1::2], strict=True) for x in (starts[a], ends[b - 1])), len(raw)]
-                    values[k] = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
-            texts = pa.array(values, texts.type)
-        yield pa.RecordBatch.from_arrays([texts if i == text_at else batch.column(i) for i in keep], names=[batch.schema.names[i] for i in keep])
-
-
-def remove_passages(docs: DataFrame, items: DataFrame, width: int = 10, text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they were, without the words that items hit; what stands between kept words stays."""
-    found = find_passages_in_rows(docs, items, width, text_col)
-    names = found.columns
-    keep = [i for i, n in enumerate(names) if n != SPANS]
-    return found.mapInArrow(partial(_cut, text_at=names.index(text_col), spans_at=names.index(SPANS), keep=keep), docs.schema)
+                    values[k] = _without(values[k], own)
+            columns[text_at] = pa.array(values, texts.type)
+        yield pa.RecordBatch.from_arrays(columns, names=names[:spans_at])
 
 
+#: Column of the spans found so far, last of the rows that are staged between blocks and gone from the result.
 SPANS = "__passage_spans"
 
 
-def find_passages_in_rows(docs: DataFrame, items: DataFrame, width: int, text_col: str) -> DataFrame:
-    """The documents with the column SPANS added: whole rows go through the search as their own id."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = find_passages(docs.select(whole.alias("row"), F.col(text_col).alias("text")), items, width, "row", "text")
-    return found.select("doc_id.*", F.col("spans").alias(SPANS))
+def remove_passages(docs: DataFrame, items: DataFrame, width: int = 10, text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they were, without the words that items hit; what stands between kept words stays.
+
+    Each row stands for itself, so repeated rows give rows alike; null texts stay null. Texts are read whole.
+    Search and removal are one pass of Python workers over whole rows.
+    """
+    spark, rows = docs.sparkSession, docs
+    listed = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text"))
+    work = partial(_cut, text_at=docs.columns.index(text_col), spans_at=len(docs.columns))
+    waiting: Windows | None = None
+    for block in _blocks(listed):
+        if waiting is not None:
+            marked = T.StructType([*docs.schema.fields, T.StructField(SPANS, T.ArrayType(T.IntegerType()))])
+            rows = staged(rows.mapInArrow(partial(work, block=spark.sparkContext.broadcast(waiting), last=False), marked), "passages")
+        waiting = Windows(block, width)
+    return rows.mapInArrow(partial(work, block=spark.sparkContext.broadcast(waiting), last=True), docs.schema)
