@@ -238,6 +238,14 @@ def test_repeated_items_count_once(spark, monkeypatch):
     assert sorted(x for block in blocks for x in block) == sorted(set(rows)) and max(map(len, blocks)) == 1
 
 
+def test_passages_of_several_blocks_go(spark, monkeypatch):
+    monkeypatch.setattr("oreflow.llm.contamination.BLOCK_BYTES", 10)
+    docs = spark.createDataFrame([(1, "keep a b c d and e f g h c d e f"), (1, None), (2, "clean"), (None, "d e f g h")], "doc_id long, text string")
+    items = spark.createDataFrame([("q", "a b c d"), ("r", "e f g h"), ("s", "d e f")], "item_id string, text string")
+    got = sorted((str(r.doc_id), str(r.text).split()) for r in remove_passages(docs, items, width=3).collect())
+    assert got == [("1", ["None"]), ("1", ["keep", "and", "c"]), ("2", ["clean"]), ("None", [])]
+
+
 def test_passages_go(spark):
     schema = "doc_id long, text string, spans int, items string"
     docs = spark.createDataFrame([(1, "Keep this. A b c d! And that", 1, "x"), (1, None, 1, "x"), (None, "a B c, d", 1, "x"), (2, "clean", 1, "x")], schema)
