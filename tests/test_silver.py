@@ -1,5 +1,6 @@
 import json
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -9,7 +10,7 @@ from oreflow.model import HIGH, DatasetSpec, Rule
 from oreflow.operators import bronze, quality, standardize
 from oreflow.operators.masks import not_equal
 from oreflow.operators.uniqueness import mark_repeated
-from oreflow.registry import DATASETS
+from oreflow.registry import DATASETS, SOURCES
 
 TS = "2024-05-01 12:00:00"
 
@@ -225,3 +226,29 @@ def test_wide_rows_are_not_shuffled_for_a_small_key_set(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "product_id string, s string")
     plan = mark_repeated(df, "product_id", "again")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_wide_rows_are_neither_routed_nor_sorted_without_heavy_keys(spark):
+    df = spark.range(400).selectExpr("cast(id % 300 as string) AS k", "id")
+    marked = mark_repeated(df, "k", "again", broadcast_bytes=0, hot_keys=10)
+    plan = marked._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "route_slot" not in plan
+    assert {(r.id, r.again) for r in marked.collect()} == {(i, i % 300 < 100) for i in range(400)}
+
+
+def test_code_of_a_dataset_is_small_enough_to_be_compiled(spark, capsys, tmp_path):
+    """The JVM compiles no method of over 8,000 bytes."""
+    names = SOURCES["transactions"].schema.names
+    rows = spark.range(9).select(*[F.col("id").cast("string").alias(n) for n in names])
+    loaded = bronze.to_bronze(rows, load_id="a", ingested_at="b", source_system="c", source_file="d")
+    loaded.write.parquet(f"{tmp_path}/bronze")
+    loaded = spark.read.parquet(f"{tmp_path}/bronze")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cleaned = standardize.standardize(loaded, TS)
+        quality.flag_rules(cleaned, DATASETS["transactions"], stripped=True).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
