@@ -19,6 +19,8 @@ HOT_KEYS = 10_000
 HOT_KEY_BYTES = 4096
 # Generous allowance per hashed row for counts, pointers and page slack.
 _ROW_OVERHEAD = 64
+# From this many times BROADCAST_BYTES on, shuffle joins hash the repeated keys.
+_HASHED_FROM = 4
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -50,11 +52,15 @@ def mark_repeated(
 
     * none: no join;
     * small: broadcast, the wide rows stay where they are;
-    * large: a broadcast for the null key and the few heavy keys (their number
+    * large, but no key is null or heavy: a shuffle join on the key alone;
+    * large otherwise: a broadcast for the null key and the few heavy keys (their number
       is bounded by the cut-off, their length by ``HOT_KEY_BYTES``) and a shuffle join for all others. Rows already decided
       by the broadcast carry no join key and are spread by task number, so
       that no reducer receives a heavy group. (The slot of all others is a
       function of the key: a constant would be folded out of the join.)
+
+    Shuffle joins of very many repeated keys hash them, as each stands once, so
+    that the wide rows need no sort.
     """
     size = Observation()
     keys = staged(
@@ -62,6 +68,8 @@ def mark_repeated(
             size,
             F.count(F.lit(1)).alias("keys"),
             F.coalesce(F.sum("dup_rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.max("dup_rows"), F.lit(0)).alias("most"),
+            F.count_if(F.col("dup_key").isNull()).alias("nulls"),
             F.coalesce(F.sum(F.octet_length(F.col("dup_key").cast("string"))), F.lit(0)).alias(
                 "text"
             ),
@@ -74,13 +82,24 @@ def mark_repeated(
 
     own = F.col(f"`{key}`")
     kept = [F.col(f"`{name}`") for name in df.columns]
-    if found["text"] + found["keys"] * _ROW_OVERHEAD <= broadcast_bytes:
+    size_of_keys = found["text"] + found["keys"] * _ROW_OVERHEAD
+    if size_of_keys <= broadcast_bytes:
         small = F.broadcast(keys.select("dup_key", F.lit(True).alias("dup_hit")))
         joined = df.join(small, own.eqNullSafe(F.col("dup_key")), "left")
         return joined.select(*kept, F.col("dup_hit").isNotNull().alias(flag))
 
+    cut_off = ceil(found["rows"] / hot_keys)
+    # Up to here the optimizer may still broadcast them.
+    hashed = size_of_keys > _HASHED_FROM * broadcast_bytes
+    if found["most"] < cut_off and not found["nulls"]:
+        listed = keys.select("dup_key", F.lit(True).alias("dup_hit"))
+        joined = df.join(
+            listed.hint("shuffle_hash") if hashed else listed, own == F.col("dup_key"), "left"
+        )
+        return joined.select(*kept, F.col("dup_hit").isNotNull().alias(flag))
+
     short = F.octet_length(F.col("dup_key").cast("string")) <= HOT_KEY_BYTES
-    many = F.col("dup_rows") >= ceil(found["rows"] / hot_keys)
+    many = F.col("dup_rows") >= cut_off
     heavy = F.col("dup_key").isNull() | (short & many)
     hot = F.broadcast(
         keys.filter(heavy).select(F.col("dup_key").alias("hot_key"), F.lit(True).alias("hot_hit"))
@@ -101,7 +120,7 @@ def mark_repeated(
         .alias("route_slot"),
     )
     joined = routed.join(
-        cold,
+        cold.hint("shuffle_hash") if hashed else cold,
         (F.col("route_key") == F.col("dup_key")) & (F.col("route_slot") == F.col("dup_slot")),
         "left",
     )
