@@ -10,7 +10,6 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of a range, and of the pieces that a task reads it in.
 RANGE_BYTES = 64 << 20
 PIECE_BYTES = 4 << 20
+#: Least piece: what is read behind a range to find the end of its last value.
+LEAST_BYTES = 64 << 10
 #: Files whose headers the driver, or one task, reads itself.
 FEW = 64
 
@@ -74,6 +75,11 @@ def pieces(file: io.RawIOBase, start: int, end: int) -> Iterator[bytes]:
         yield bytes(piece)
 
 
+def _piece(at: int, end: int) -> int:
+    """Bytes to read next: little more than the range, however small it is."""
+    return max(min(PIECE_BYTES, end - at), LEAST_BYTES)
+
+
 def backslashes_before(file: io.RawIOBase, start: int) -> int:
     """How many backslashes stand right before a place."""
     count = 0
@@ -90,10 +96,23 @@ def backslashes_before(file: io.RawIOBase, start: int) -> int:
 
 
 def ranges_of(spark: SparkSession, files: list[tuple[str, int]], range_bytes: int) -> DataFrame:
-    """file, start and end of every range; each is a task of its own."""
+    """file, start and end of every range."""
     rows = [(name, at, min(at + range_bytes, size)) for name, size in files for at in range(0, size, range_bytes)]
-    frame = spark.createDataFrame(rows, "file string, start long, end long")
-    return frame.repartition(max(1, len(rows)), "file", "start") if rows else frame
+    return _dealt(spark, rows, "file string, start long, end long")
+
+
+def _dealt(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Ranges dealt to tasks: one each where they are large, about RANGE_BYTES together where there are many small ones."""
+    frame = spark.createDataFrame(rows, schema)
+    size = sum(row[2] - row[1] for row in rows)
+    tasks = max(size // RANGE_BYTES + 1, spark.sparkContext.defaultParallelism)
+    return frame.repartition(min(len(rows), tasks), "file", "start") if rows else frame
+
+
+def _with_states(ranges: DataFrame, states: dict[tuple[str, int], tuple], schema: str) -> DataFrame:
+    """Each range with the state at its start beside it, so that a task gets those of its own ranges only."""
+    rows = [(*row, *states[row["file"], row["start"]]) for row in ranges.collect()]
+    return _dealt(ranges.sparkSession, rows, f"file string, start long, end long, {schema}")
 
 
 # --- JSON ---------------------------------------------------------------------
@@ -175,7 +194,7 @@ def objects_of(file: io.RawIOBase, start: int, end: int, inside: bool, depth: in
     first = start == 0
     file.seek(start)
     while at < size:
-        raw = bytes(file.read(min(PIECE_BYTES, size - at)))
+        raw = bytes(file.read(min(_piece(at, end), size - at)))
         if at == 0 and raw.startswith(_MARK):
             raw = b"   " + raw[3:]
         piece = np.frombuffer(raw, np.uint8)
@@ -222,12 +241,12 @@ def objects_of(file: io.RawIOBase, start: int, end: int, inside: bool, depth: in
             raise BrokenFile(f"the array does not end, found {text[:40]!r}")
 
 
-def _json_objects(batches: Iterator[pa.RecordBatch], states: dict[tuple[str, int], tuple[bool, int]]) -> Iterator[pa.RecordBatch]:
+def _json_objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for name, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for name, start, end, inside, depth in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             held, size = [], 0
             with opened(name) as file:
-                for value in objects_of(file, start, end, *states[name, start]):
+                for value in objects_of(file, start, end, inside, depth):
                     held.append(value)
                     size += len(value)
                     if size >= PIECE_BYTES:
@@ -249,7 +268,8 @@ def json_objects(spark: SparkSession, files: list[tuple[str, int]], range_bytes:
     behind them fail with BrokenFile: what ends inside a value at once, all else when rows are read.
     """
     ranges = ranges_of(spark, files, range_bytes)
-    return ranges.mapInArrow(partial(_json_objects, states=json_states(ranges)), "value string, file string")
+    placed = _with_states(ranges, json_states(ranges), "inside boolean, depth long")
+    return placed.mapInArrow(_json_objects, "value string, file string")
 
 
 # --- CSV ----------------------------------------------------------------------
@@ -292,7 +312,7 @@ def records_of(file: io.RawIOBase, start: int, end: int, inside: bool) -> Iterat
         held = b"" if bytes(file.read(1)) == b"\n" else None
     file.seek(start)
     while at < size:
-        raw = bytes(file.read(min(PIECE_BYTES, size - at)))
+        raw = bytes(file.read(min(_piece(at, end), size - at)))
         piece = np.frombuffer(raw, np.uint8)
         flips = np.zeros(len(piece), np.int8)
         flips[piece == QUOTE] = 1
@@ -314,12 +334,12 @@ def records_of(file: io.RawIOBase, start: int, end: int, inside: bool) -> Iterat
         yield held.removesuffix(b"\r")
 
 
-def _csv_records(batches: Iterator[pa.RecordBatch], states: dict[tuple[str, int], bool]) -> Iterator[pa.RecordBatch]:
+def _csv_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for name, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for name, start, end, inside in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             held, size = [], 0
             with opened(name) as file:
-                for k, record in enumerate(records_of(file, start, end, states[name, start])):
+                for k, record in enumerate(records_of(file, start, end, inside)):
                     if start == 0 and k == 0:
                         continue  # the header
                     if not record.strip():
@@ -338,7 +358,8 @@ def csv_records(spark: SparkSession, files: list[tuple[str, int]], range_bytes:
     Quotes inside values are doubled; a quoted value may span lines and ranges. Blank lines are skipped.
     """
     ranges = ranges_of(spark, files, range_bytes)
-    return ranges.mapInArrow(partial(_csv_records, states=csv_states(ranges)), "value string, file string")
+    states = {place: (inside,) for place, inside in csv_states(ranges).items()}
+    return _with_states(ranges, states, "inside boolean").mapInArrow(_csv_records, "value string, file string")
 
 
 def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from oreflow.model import text_schema
 from oreflow.sources import readers
 from oreflow.sources.ranges import backslashes_before, files_below, ranges_of, records_of
+from workload import catalog
 
 TEXT = text_schema("id", "note")
 
@@ -118,3 +119,28 @@ def test_files_and_ranges(spark, tmp_path):
     assert [(f.rsplit("/", 1)[1], n) for f, n in files] == [("a", 2), ("b", 5)]
     assert sorted((r.start, r.end) for r in ranges_of(spark, files, 2).collect()) == [(0, 2), (0, 2), (2, 4), (4, 5)]
     assert files_below(spark, str(tmp_path / "nothing")) == []
+
+
+def test_many_small_ranges_share_tasks(spark):
+    dealt = ranges_of(spark, [("a", 4000)], 2)
+    assert dealt.count() == 2000 and dealt.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_a_small_range_reads_little_more_than_itself():
+    text = b'"a\n",b\n' * 400_000
+    file = io.BytesIO(text)
+    file.size = lambda: len(text)
+    found = list(records_of(file, 0, 7000, False))
+    assert len(found) == 1000 and file.tell() <= 256 << 10
+
+
+def test_queries_write_their_files_with_all_tasks(spark, tmp_path, monkeypatch):
+    """No file of the range readers' queries is written by one task for all rows."""
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    for name in ("read_json_array", "read_csv"):
+        monkeypatch.setattr(readers, name, lambda spark, path, *rest, **more: seen.append(path))
+    catalog.src_json_array_split(spark, str(tmp_path))
+    catalog.src_csv_headers(spark, str(tmp_path))
+    assert [len(files_below(spark, path)) for path in seen] == [3, 9]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,16 +197,22 @@ def src_json_array_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def src_json_array_split(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders as one file with one array, read in ranges by several tasks."""
+    """All orders as arrays, one file for each task that writes, read in ranges by several tasks."""
+
+    def one_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The objects of a task as the lines of one array, as they come."""
+        before = "["
+        for batch in batches:
+            lines = []
+            for value in batch.column(0).to_pylist():
+                lines.append(before + value)
+                before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], names=["value"])
+
     path = scratch_path(spark, "array")
     rows = table(spark, folder, "orders").select(F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")).alias("value"))
-    # A file of lines made one array by a first and a last line.
-    first = rows.agg(F.min("value").alias("value"))
-    lines = first.select(F.concat(F.lit("[\n"), "value").alias("value"), F.lit(0).alias("n"))
-    rest = rows.join(F.broadcast(first.withColumnRenamed("value", "least")), F.col("value") != F.col("least"))
-    lines = lines.unionByName(rest.select(F.concat(F.lit(","), "value").alias("value"), F.lit(1).alias("n")))
-    lines = lines.unionByName(spark.createDataFrame([("]", 2)], "value string, n int"))
-    lines.coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    rows.mapInArrow(one_array, "value string").write.text(path)
     schema = T.StructType([T.StructField(n, t) for n, t in (("o_orderkey", T.LongType()), ("o_custkey", T.LongType()), ("o_totalprice", T.DoubleType()), ("o_orderstatus", T.StringType()), ("o_orderpriority", T.StringType()))])
     return readers.read_json_array(spark, path, schema, range_bytes=256 << 10)
 
@@ -225,7 +232,7 @@ def src_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     for kind, rows in kinds.items():
         part = rows.filter(F.col("doc_id").cast("long") % 3 == kind)
         (
-            part.coalesce(1).write.option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "")
+            part.write.option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/kind-{kind}")
         )
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("lang", "text", "source")]])
