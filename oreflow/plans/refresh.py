@@ -33,7 +33,7 @@ from oreflow.sources.outputs import (
 )
 from oreflow.sources.readers import read_raw
 from oreflow.sources.versions import Run, current_root, fingerprint, publish
-from oreflow.sources.writers import point_table, replace_csv, replace_parquet
+from oreflow.sources.writers import COMPRESSION, point_table, replace_csv, replace_parquet
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -110,6 +110,7 @@ def write_checked(flagged: DataFrame, path: str) -> None:
         flagged.select(*quality.data_columns(flagged), hits, outcome.alias(OUTCOME))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
+        .option("compression", COMPRESSION)
         .partitionBy(OUTCOME)
         .parquet(path)
     )
