@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from oreflow.model import DatasetSpec, SourceSpec
 from oreflow.operators import bronze, checks, features, gold, quality, standardize, triage
 from oreflow.registry import DATASETS, SOURCES
-from oreflow.session import scratch_scope
+from oreflow.session import refresh_settings, scratch_scope
 from oreflow.sources.outputs import (
     BROKEN,
     BROKEN_RULES,
@@ -185,8 +185,9 @@ def refresh_silver(
                 if record["rejected_rule_hits"]
             ],
         )
-        # Evens out the files of the quarantine, which may be a few rows or very many.
-        even = rejects.hint("rebalance")
+        # Evens out the files of the quarantine, which may be a few rows or very many. Dealt by payload:
+        # to deal in turn, Spark would sort the wide records first, so that retries deal alike.
+        even = rejects.hint("rebalance", "record_payload_json")
         replace_parquet(even, output_path(out, "silver_data_quality_rejects"))
 
     specs = list(DATASETS.values())
@@ -366,7 +367,7 @@ def refresh(
         checks.enforce(load_output(spark, out, "quality_gates"), limits)
 
     try:
-        with scratch_scope(spark):
+        with refresh_settings(spark), scratch_scope(spark):
             refresh_bronze(spark, raw, place, run_ts=run_ts, load_id=load_id, once=once)
             if limits is not None:
                 once("gates", gates)

@@ -9,6 +9,7 @@ from oreflow.functions import stable_avg, stable_sum, strip, to_ntz
 from oreflow.functions.text import WHITESPACE
 from oreflow.main import main
 from oreflow.operators import quality, reports
+from oreflow.plans import refresh as steps
 from oreflow.plans.refresh import refresh
 from oreflow.registry import DATASETS, SOURCES
 from oreflow.session import shared_folder
@@ -125,3 +126,31 @@ def test_one_pass_for_quality_numbers(spark, tmp_path):
         assert "lineitem" not in plan  # read once, when the profile was stored
     frame = quality.rule_profile(catalog.flagged(spark, folder, "transactions"), DATASETS["transactions"])
     assert frame._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") <= 1
+
+
+def test_a_refresh_sorts_no_wide_rows_before_it_writes_them(spark, tmp_path, monkeypatch):
+    """Neither checked tables by outcome, in a session left at Spark's default, nor rejects to deal them in turn."""
+    setting, plans, found = "spark.sql.maxConcurrentOutputFileWriters", {}, []
+    store, check = steps.replace_parquet, steps.write_checked
+
+    def stored(df, path):
+        plans[os.path.basename(path)] = df._jdf.queryExecution().executedPlan().toString()
+        store(df, path)
+
+    def checked(flagged, path):
+        found.append(int(spark.conf.get(setting)))
+        check(flagged, path)
+
+    monkeypatch.setattr(steps, "replace_parquet", stored)
+    monkeypatch.setattr(steps, "write_checked", checked)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        accounts = [("A1", "C1", "P1", "active", "2021-01-01", "5.25", "USD")]
+        refresh(spark, write_raw(spark, tmp_path / "raw", accounts=accounts), str(tmp_path / "out"))
+        after = spark.conf.get(setting)
+    finally:
+        spark.conf.set(setting, before)
+    assert after == "0" and len(found) == len(DATASETS) and min(found) >= 3
+    (rejects,) = [plan for name, plan in plans.items() if "rejects" in name]
+    assert "REBALANCE" in rejects and "RoundRobin" not in rejects
