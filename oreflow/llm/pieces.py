@@ -31,8 +31,8 @@ SPACE = "▁"
 REMEMBERED = 40 << 20
 #: Characters of the longest part remembered, and bytes of an entry but for its characters.
 REMEMBERED_LENGTH, ENTRY_BYTES = 64, 200
-#: Bytes of text encoded at a time.
-SLICE = 6 << 20
+#: Bytes of text encoded at a time, and ids decoded at a time, but for longer texts: bounds what numpy holds beside the results.
+SLICE, DECODED_AT_ONCE = 2 << 20, 1 << 18
 
 
 class PieceModel:
@@ -49,9 +49,13 @@ class PieceModel:
         self.has_bytes = model.is_byte(self.byte_ids[0])
         self.pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.automaton = ahocorasick.Automaton()
+        # Every place has its one character as an option anyhow.
         for p in self.ids:
-            self.automaton.add_word(p, len(p))
+            if len(p) > 1:
+                self.automaton.add_word(p, len(p) - 1)
         self.automaton.make_automaton()
+        self.names = {p: p for p in self.ids}
+        self.traces: dict[str, tuple[tuple, ...] | None] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, bytes] = {}
         self.fits_bytes = self.parts_bytes = 0
@@ -64,22 +68,62 @@ class PieceModel:
         self.surface_starts = np.cumsum(self.surface_lengths) - self.surface_lengths
         self.surface_bytes = np.frombuffer(b"".join(surfaces), np.uint8)
 
-    def merged(self, text: str) -> list[str]:
-        """Joins the neighbours whose joint piece scores highest, the leftmost at ties, until none is left."""
-        symbols, find = list(text), self.scores.get
+    def merges(self, piece: str) -> tuple[tuple, ...] | None:
+        """How merging makes a piece of its characters; None if it makes something else of them.
+
+        The neighbours whose joint piece scores highest are joined, the leftmost at ties, until none is left. Told are the score of
+        each joining, with one that never comes at the end, and the first and the last symbol before each.
+        """
+        if len(piece) == 1:
+            return (_NEVER,), (piece,), (piece,)
+        known = self.traces.get(piece, False)
+        if known is not False:
+            return known
+        symbols, find, own = list(piece), self.scores.get, self.names.get
         joint = [find(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        scores, firsts, lasts = [], [symbols[0]], [symbols[-1]]
         while joint:
             best = max(joint)
             if best == _NEVER:
                 break
             at = joint.index(best)
-            symbols[at] += symbols.pop(at + 1)
+            joined = symbols[at] + symbols.pop(at + 1)
+            symbols[at] = own(joined, joined)
             del joint[at]
             if at:
                 joint[at - 1] = find(symbols[at - 1] + symbols[at], _NEVER)
             if at < len(joint):
                 joint[at] = find(symbols[at] + symbols[at + 1], _NEVER)
-        return symbols
+            scores.append(best)
+            firsts.append(symbols[0])
+            lasts.append(symbols[-1])
+        known = (*scores, _NEVER), tuple(firsts), tuple(lasts)
+        if piece in self.names:  # so there are no more than pieces
+            self.traces[piece] = known if len(symbols) == 1 else None
+        return known if len(symbols) == 1 else None
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether merging the characters of both leaves exactly these two (of an empty left one, `right` alone).
+
+        The joinings of either take place in turn, by score and the left one first at ties, unless one across their border comes before.
+        """
+        after = self.merges(right)
+        if not left or after is None:
+            return after is not None
+        before = self.merges(left)
+        if before is None:
+            return False
+        (mine, _, lasts), (theirs, firsts, _), find, i, j = before, after, self.scores.get, 0, 0
+        while True:
+            x, y, across = mine[i], theirs[j], find(lasts[i] + firsts[j], _NEVER)
+            if across > x and across >= y:
+                return False
+            if x < y:
+                j += 1
+            elif x == _NEVER:
+                return True
+            else:
+                i += 1
 
     def fit(self, left: str, right: str) -> bool:
         known = self.fits.get((left, right))
@@ -87,7 +131,7 @@ class PieceModel:
             if self.fits_bytes > REMEMBERED:
                 self.fits.clear()
                 self.fits_bytes = 0
-            known = self.merged(left + right) == ([left, right] if left else [right])
+            known = self.apart(left, right)
             self.fits[left, right] = known
             self.fits_bytes += ENTRY_BYTES + len(left) + len(right)
         return known
@@ -95,45 +139,42 @@ class PieceModel:
     def split(self, part: str) -> list[str]:
         """The pieces of a part by backtracking."""
         n, fits = len(part), self.fits
-        ends: list[list[int]] = [[] for _ in range(n)]
-        for last, length in self.automaton.iter(part):
-            ends[last + 1 - length].append(last + 1)
-        failed, seen, at, pieces = 0, 0, 0, [""]
+        # What is left to try at each place, the longest last; a place is entered again only to go on with it.
+        ends = [[end] for end in range(1, n + 1)]
+        for last, back in self.automaton.iter(part):
+            ends[last - back].append(last + 1)
+        failed, at, before, pieces = 0, 0, "", [""]
         while at < n:
-            # What is left to try here, the longest last; a place is entered again only to go on with it.
-            options, before = ends[at], pieces[-1]
-            if not seen >> at & 1:
-                seen |= 1 << at
-                if not options or options[0] != at + 1:
-                    options.insert(0, at + 1)  # a character without a piece
+            options = ends[at]
             while options:
                 end = options.pop()
+                if failed >> end & 1:
+                    continue
                 piece = part[at:end]
                 fit = fits.get((before, piece))
-                if (self.fit(before, piece) if fit is None else fit) and not failed >> end & 1:
+                if self.fit(before, piece) if fit is None else fit:
                     pieces.append(piece)
-                    at = end
+                    before, at = piece, end
                     break
             else:
                 failed |= 1 << at
                 at -= len(pieces.pop())
+                before = pieces[-1]
         return pieces[1:]
 
+    def _without_piece(self, text: str) -> list[int]:
+        return [self.byte_ids[b] for b in text.encode()] if self.has_bytes else [self.unknown]
+
     def encode_part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
             if self.parts_bytes > REMEMBERED:
                 self.parts.clear()
                 self.parts_bytes = 0
-            ids = []
-            for p in self.split(part):
-                found = self.ids.get(p)
-                if found is not None:
-                    ids.append(found)
-                elif self.has_bytes:
-                    ids.extend(self.byte_ids[b] for b in p.encode())
-                else:
-                    ids.append(self.unknown)
+            found = self.split(part)
+            ids = [*map(self.ids.get, found)]
+            if None in ids:
+                ids = [i for p, own in zip(found, ids, strict=True) for i in ((own,) if own is not None else self._without_piece(p))]
             known = array("i", ids).tobytes()
             if len(part) <= REMEMBERED_LENGTH:
                 self.parts[part] = known
@@ -145,6 +186,8 @@ class PieceModel:
         known = self.parts.get(chunk)
         if known is not None:
             return known
+        if chunk[1:].isalpha():
+            return self.encode_part(chunk)
         pairs, parts = self.pairs, []
         for unit in _UNITS.findall(chunk):
             if parts and parts[-1][-1] + unit[0] in pairs:
@@ -168,11 +211,16 @@ class PieceModel:
 
     def decode_ids(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
         """Texts of id sequences; the space put before a text is taken off again."""
-        counts = self.surface_lengths[ids]
-        data = take_ranges(self.surface_bytes, self.surface_starts[ids], counts)
-        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)[starts]
-        raw = data.tobytes()
-        return [raw[a + (raw[a : a + 1] == b" ") if a < b else a : b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        texts, at, starts = [], 0, np.asarray(starts, np.int64)
+        while at < len(starts) - 1:
+            end = max(at + 1, int(np.searchsorted(starts, starts[at] + DECODED_AT_ONCE, side="right")) - 1)
+            own = ids[starts[at] : starts[end]]
+            counts = self.surface_lengths[own]
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)[starts[at : end + 1] - starts[at]].tolist()
+            raw = take_ranges(self.surface_bytes, self.surface_starts[own], counts).tobytes()
+            texts += [raw[a + (raw[a : a + 1] == b" ") if a < b else a : b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            at = end
+        return texts
 
 
 _NEVER = float("-inf")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -32,6 +33,41 @@ def texts():
     return ODD + made
 
 
+def test_pieces_are_apart_where_merging_all_characters_leaves_them():
+    model = PieceModel(PIECES)
+
+    def merged(text: str) -> list[str]:
+        symbols = list(text)
+        while True:
+            scores = [model.scores.get(a + b, float("-inf")) for a, b in zip(symbols, symbols[1:], strict=False)]
+            if not scores or max(scores) == float("-inf"):
+                return symbols
+            k = scores.index(max(scores))
+            symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
+
+    draw = random.Random(8)
+    pool = [*draw.sample(sorted(model.ids), 400), "a", "aa", "aaa", "\u2581", "\u2581a", "the", "\u2581the", "e", "r", "er", "\U0001f995", "zzzzq", "st", "ss", "s"]
+    found = set()
+    for left in [*draw.sample(pool, 120), *pool[400:], ""]:
+        for right in pool:
+            expected = merged(left + right) == ([left, right] if left else [right])
+            assert model.apart(left, right) == expected, (left, right)
+            found.add(expected)
+    assert found == {True, False}
+    assert set(model.traces) <= set(model.ids)  # known once for each piece, not for each pair
+
+
+def test_decoding_holds_little_beside_its_texts():
+    model = PieceModel(PIECES)
+    ids, starts = model.encode_texts(pa.array(["the quick brown fox jumps over the lazy dog, again and again "] * 50_000))
+    tracemalloc.start()
+    texts = model.decode_ids(ids, starts)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(texts) == {"the quick brown fox jumps over the lazy dog, again and again "}
+    assert held < 20 * sum(map(len, texts)), held
+
+
 def test_pieces_equal_the_library():
     library, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), PieceModel(PIECES)
     ids, starts = own.encode_texts(pa.array(texts()))
