@@ -4,7 +4,7 @@ The text is cut where no piece of the vocabulary can reach across. Each part is
 to right: an Aho-Corasick automaton lists the pieces that start at a place, the longest that fits
 the piece before it is taken, and a place from which nothing leads on is noted in a bit field and
 never entered again. Two adjacent pieces fit if merging their joined characters by score ends at
-these two pieces; a sequence whose neighbours all fit is the one result that merging the whole
+these two pieces, which the joinings of each, done in turn, tell; a sequence whose neighbours all fit is the one result that merging the whole
 text would give.
 """
 
