@@ -31,6 +31,8 @@ SPACE = "▁"
 REMEMBERED = 40 << 20
 #: Characters of the longest part remembered, and bytes of an entry but for its characters.
 REMEMBERED_LENGTH, ENTRY_BYTES = 64, 200
+#: Bytes of a fit remembered: two numbers at most and their place in a dict.
+FIT_BYTES = 160
 #: Bytes of text encoded at a time, and ids decoded at a time, but for longer texts: bounds what numpy holds beside the results.
 SLICE, DECODED_AT_ONCE = 2 << 20, 1 << 18
 
@@ -56,7 +58,7 @@ class PieceModel:
         self.automaton.make_automaton()
         self.names = {p: p for p in self.ids}
         self.traces: dict[str, tuple[tuple, ...] | None] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.parts: dict[str, bytes] = {}
         self.fits_bytes = self.parts_bytes = 0
         surfaces = [b"" if model.is_control(i) else p.replace(SPACE, " ").encode() for i, p in ((i, model.id_to_piece(i)) for i in ids)]
@@ -125,42 +127,48 @@ class PieceModel:
             else:
                 i += 1
 
-    def fit(self, left: str, right: str) -> bool:
-        known = self.fits.get((left, right))
+    def fit(self, pair: int, left: str, right: str) -> bool:
+        """`apart`, noted under the number of the pair."""
+        known = self.fits.get(pair)
         if known is None:
             if self.fits_bytes > REMEMBERED:
                 self.fits.clear()
                 self.fits_bytes = 0
-            known = self.apart(left, right)
-            self.fits[left, right] = known
-            self.fits_bytes += ENTRY_BYTES + len(left) + len(right)
+            known = self.fits[pair] = self.apart(left, right)
+            self.fits_bytes += FIT_BYTES
         return known
 
-    def split(self, part: str) -> list[str]:
-        """The pieces of a part by backtracking."""
-        n, fits = len(part), self.fits
-        # What is left to try at each place, the longest last; a place is entered again only to go on with it.
-        ends = [[end] for end in range(1, n + 1)]
+    def split(self, part: str) -> list[int]:
+        """The pieces of a part by backtracking, as ids; a character without one is its code point and `_CHARACTER`."""
+        n, ids, known = len(part), self.ids.get, self.fits.get
+        # Where the longest piece from each place ends: matches come by their ends.
+        longest = [*range(1, n + 1)]
         for last, back in self.automaton.iter(part):
-            ends[last - back].append(last + 1)
-        failed, at, before, pieces = 0, 0, "", [""]
+            longest[last - back] = last + 1
+        failed, at, before, row, starts, found = 0, 0, "", _NOTHING * _PAIRS, [], []
         while at < n:
-            options = ends[at]
-            while options:
-                end = options.pop()
-                if failed >> end & 1:
-                    continue
-                piece = part[at:end]
-                fit = fits.get((before, piece))
-                if self.fit(before, piece) if fit is None else fit:
-                    pieces.append(piece)
-                    before, at = piece, end
-                    break
+            end = longest[at]
+            # Shorter ones are looked up, since the longest mostly fits. A place gone back to starts over: what failed from it is noted.
+            while end > at:
+                if not failed >> end & 1:
+                    piece = part[at:end]
+                    own = ids(piece)
+                    if own is None and end == at + 1:
+                        own = _CHARACTER + ord(piece)
+                    if own is not None:
+                        fits = known(row + own)
+                        if self.fit(row + own, before, piece) if fits is None else fits:
+                            starts.append(at)
+                            found.append(own)
+                            before, row, at = piece, own * _PAIRS, end
+                            break
+                end -= 1
             else:
                 failed |= 1 << at
-                at -= len(pieces.pop())
-                before = pieces[-1]
-        return pieces[1:]
+                at = starts.pop()
+                found.pop()
+                before, row = (part[starts[-1] : at], found[-1] * _PAIRS) if found else ("", _NOTHING * _PAIRS)
+        return found
 
     def _without_piece(self, text: str) -> list[int]:
         return [self.byte_ids[b] for b in text.encode()] if self.has_bytes else [self.unknown]
@@ -171,10 +179,9 @@ class PieceModel:
             if self.parts_bytes > REMEMBERED:
                 self.parts.clear()
                 self.parts_bytes = 0
-            found = self.split(part)
-            ids = [*map(self.ids.get, found)]
-            if None in ids:
-                ids = [i for p, own in zip(found, ids, strict=True) for i in ((own,) if own is not None else self._without_piece(p))]
+            ids = self.split(part)
+            if max(ids, default=0) >= _CHARACTER:
+                ids = [i for own in ids for i in ((own,) if own < _CHARACTER else self._without_piece(chr(own - _CHARACTER)))]
             known = array("i", ids).tobytes()
             if len(part) <= REMEMBERED_LENGTH:
                 self.parts[part] = known
@@ -224,6 +231,9 @@ class PieceModel:
 
 
 _NEVER = float("-inf")
+#: Ids are below the first; characters without one follow it, and a number for no piece at all. A pair of them is one number:
+#: the left one times a larger odd one, whose low bits a dict finds spread, and the right one.
+_CHARACTER, _NOTHING, _PAIRS = 1 << 20, (1 << 20) + 0x110000, (1 << 22) + 1
 _UNITS = re.compile(r"▁*[^\W\d_]+|.", re.DOTALL)
 _ODD = f"  |{SPACE}|^ "
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")

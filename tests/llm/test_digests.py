@@ -14,7 +14,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
 tokenizers = pytest.importorskip("tokenizers")
 
-from oreflow.llm import queries  # noqa: E402
+from oreflow.llm import pieces, queries  # noqa: E402
 from oreflow.llm.pieces import PieceModel, decode_pieces, encode_pieces  # noqa: E402
 from oreflow.llm.token_files import CachedTokenizer, pack_ids, read_token_files, unpack_ids, write_token_files  # noqa: E402
 
@@ -57,6 +57,24 @@ def test_pieces_are_apart_where_merging_all_characters_leaves_them():
     assert set(model.traces) <= set(model.ids)  # known once for each piece, not for each pair
 
 
+def test_a_split_yields_ids_and_notes_fits_by_the_numbers_of_both_pieces():
+    model, library = PieceModel(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    names = {i: p for p, i in model.ids.items()}
+
+    def named(own: int) -> str:
+        return names[own] if own in names else "" if own == pieces._NOTHING else chr(own - pieces._CHARACTER)
+
+    for text in texts():
+        found = model.split(text.replace(" ", "▁"))
+        assert "".join(map(named, found)) == text.replace(" ", "▁")
+    for word in ("thonreing", "Gegeenpfä", "x🦕y", "zzzzq"):
+        ids, starts = model.encode_texts(pa.array([word]))
+        assert ids.tolist() == library.encode(word)
+    assert len(model.fits) > 500 and all(isinstance(pair, int) for pair in model.fits)
+    for pair, known in list(model.fits.items())[:500]:
+        assert known == model.apart(named(pair // pieces._PAIRS), named(pair % pieces._PAIRS))
+
+
 def test_decoding_holds_little_beside_its_texts():
     model = PieceModel(PIECES)
     ids, starts = model.encode_texts(pa.array(["the quick brown fox jumps over the lazy dog, again and again "] * 50_000))
