@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from oreflow.model import DatasetSpec
 from oreflow.operators.quality import flag_rules
 from oreflow.operators.standardize import standardize
+from oreflow.session import refresh_settings, staged
+from oreflow.sources.writers import COMPRESSION
 
 # Made by the standardisation, so made anew.
 _MADE = ("transaction_date", "_silver_processed_at_utc")
@@ -45,6 +47,9 @@ def replay(
     Keys are compared among the replayed rows and with ``silver``: a key that silver holds by now is
     left out. The result is flagged as `flag_rules` does it, so `valid_rows` gives
     what can be added to silver; null keys stay and break their rule again.
+
+    The rows to check are stored first: comparing their keys reads them twice, and each time all that
+    leads to them would be shuffled again.
     """
     allowed = F.array(*[F.lit(rule) for rule in settled])
     own = rejects.filter(F.col("dataset_name") == spec.name)
@@ -54,4 +59,6 @@ def replay(
     again = standardize(rows, run_ts)
     if spec.unique_key:
         again = again.join(silver.select(spec.unique_key), spec.unique_key, "left_anti").select(again.columns)
-    return flag_rules(again, spec, strict_nulls=strict_nulls, stripped=True)
+    with refresh_settings(rejects.sparkSession):
+        stored = staged(again, "replayed", compression=COMPRESSION)
+        return flag_rules(stored, spec, strict_nulls=strict_nulls, stripped=True)

@@ -39,6 +39,13 @@ def test_rows_whose_key_became_unique_pass(spark):
     assert replayed(spark, [])[1] == []
 
 
+def test_rows_to_check_again_are_stored_once(spark):
+    """Their keys and the rows are both read from there, and no shuffle that led to them stays or comes again."""
+    again, passed = replayed(spark, [("P1", "loan", "t", "x"), ("P1", None, "t", "x"), ("P2", "card", "t", "x")])
+    plan = again._jdf.queryExecution().toString()
+    assert passed == ["P1"] and "record_payload_json" not in plan and "/replayed-" in plan
+
+
 def test_fields_by_path(spark):
     df = spark.createDataFrame([('{"a b": "x", "n": 1.5, "t": true, "z": null}',)], "record_payload_json string")
     row = replay.with_record(df).select(

@@ -27,7 +27,7 @@ from oreflow.operators import (
 )
 from oreflow.plans.refresh import refresh
 from oreflow.registry import DATASETS, SOURCES
-from oreflow.session import scratch_path, staged
+from oreflow.session import refresh_settings, scratch_path, staged
 from oreflow.sources import outputs, readers, writers
 from workload.oracles import KEYS, LOAD, TS
 from workload.roles import role, table
@@ -541,7 +541,9 @@ def val_transform_audit(spark: SparkSession, folder: str) -> DataFrame:
 def val_reject_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions rejected for their key alone, whose other copies broke further rules: they pass now."""
     spec = DATASETS["transactions"]
-    frame = flagged(spark, folder, spec.name)
+    with refresh_settings(spark):
+        # Stored as by a refresh: rejects and silver are both read from it.
+        frame = staged(flagged(spark, folder, spec.name), "flagged", compression=writers.COMPRESSION)
     rejects = quality.reject_records(frame, spec, TS)
     silver = quality.valid_rows(frame)
     again = replay.replay(rejects, spec, silver, TS, settled=[quality.unique_rule(spec.unique_key)])
