@@ -35,6 +35,9 @@ from oreflow.sources.readers import read_raw
 from oreflow.sources.versions import Run, current_root, fingerprint, publish
 from oreflow.sources.writers import COMPRESSION, point_table, replace_csv, replace_parquet
 
+# Up to so many records of a dataset are dealt out anew to be written, more are written where they are read.
+FEW_REJECTS = 100_000
+
 T = TypeVar("T")
 R = TypeVar("R")
 # Does a named step, or tells its record where it has been done before.
@@ -177,18 +180,17 @@ def refresh_silver(
         replace_parquet(table.coalesce(1), output_path(out, "silver_transform_audit"))
 
     def quarantine() -> None:
-        rejects = quality.union_rejects(
-            spark,
-            [
-                stored_rejects(stored_rows(spec), spec, run_ts)
-                for spec, record in zip(specs, records, strict=True)
-                if record["rejected_rule_hits"]
-            ],
-        )
-        # Evens out the files of the quarantine, which may be a few rows or very many. Dealt by payload:
-        # to deal in turn, Spark would sort the wide records first, so that retries deal alike.
-        even = rejects.hint("rebalance", "record_payload_json")
-        replace_parquet(even, output_path(out, "silver_data_quality_rejects"))
+        # A scan of the broken rows deals very many evenly by itself, and their texts are the widest rows of
+        # a refresh. A few, from however many files, share files. Dealt by payload: to deal in turn,
+        # Spark would sort the wide records first, so that retries deal alike.
+        few, many = [], []
+        for spec, record in zip(specs, records, strict=True):
+            if hits := record["rejected_rule_hits"]:
+                part = stored_rejects(stored_rows(spec), spec, run_ts)
+                (few if hits <= FEW_REJECTS else many).append(part)
+        even = quality.union_rejects(spark, few).hint("rebalance", "record_payload_json")
+        rejects = quality.union_rejects(spark, [even, *many] if few or not many else many)
+        replace_parquet(rejects, output_path(out, "silver_data_quality_rejects"))
 
     specs = list(DATASETS.values())
     records = _each(spark, noted, specs)

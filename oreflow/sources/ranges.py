@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ _BLANK = b" \t\r\n"
 _MARK = b"\xef\xbb\xbf"
 #: Files with these endings can be read from their start only.
 PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+#: Those that Arrow unpacks, as Hadoop writes them too.
+UNPACKED = {".gz": "gzip", ".bz2": "bz2"}
 
 
 class BrokenFile(ValueError):
@@ -373,12 +376,27 @@ def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
     return {name: next(csv.reader(io.StringIO(text)), []) for name, text in texts.items()}
 
 
+def _first_record(name: str) -> bytes:
+    """The first CSV record of a file; of a packed one no more is unpacked than it takes."""
+    with opened(name) as file:
+        kind = next((kind for ending, kind in UNPACKED.items() if name.endswith(ending)), None)
+        if kind is None:
+            return next(records_of(file, 0, 1, False), b"")
+        unpacked, start = pa.CompressedInputStream(file, kind), b""
+        while True:
+            more = unpacked.read(max(LEAST_BYTES, len(start)))
+            start += more
+            # The first record is whole where another one follows it, or nothing does.
+            records = list(islice(records_of(pa.BufferReader(start), 0, len(start) + 1, False), 2))
+            if len(records) > 1 or not more:
+                return records[0] if records else b""
+
+
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.column(0).to_pylist()
         texts = []
         for name in names:
-            with opened(name) as file:
-                texts.append(next(records_of(file, 0, 1, False), b"").removeprefix(_MARK).decode())
+            texts.append(_first_record(name).removeprefix(_MARK).decode())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["file", "header"])
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from oreflow.functions import null_if_na, quoted
 from oreflow.model import SourceSpec, text_schema
-from oreflow.sources.ranges import PACKED, RANGE_BYTES, csv_headers, csv_records, files_below, json_objects
+from oreflow.sources.ranges import PACKED, RANGE_BYTES, UNPACKED, csv_headers, csv_records, files_below, json_objects
 
 
 #: Name of the column with the file a row came from, where a reader is asked for it.
@@ -99,9 +99,9 @@ def read_csv(
 
 def _headers_of(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
     """By Arrow where it knows the store, else by Spark, one small job a file."""
-    plain = [f for f in files if not f.endswith(PACKED)]
+    known = [f for f in files if not f.endswith(PACKED) or f.endswith(tuple(UNPACKED))]
     try:
-        found = csv_headers(spark, plain)
+        found = csv_headers(spark, known)
     except (OSError, ValueError):
         found = {}
     rest = [f for f in files if f not in found]

@@ -19,6 +19,9 @@ from oreflow.sources.versions import exists, file_system, folders, hadoop_path,
 KEPT = 2
 #: Of stored tables. Row hashes and rejected rows, most of what a refresh writes, pack better than by the default.
 COMPRESSION = "zstd"
+#: Of text files that are read whole, each by one task, which bounds their rows. Level four takes half the time
+#: of the usual six for a tenth more bytes.
+PACKED_TEXT = {"compression": "gzip", "zlib.compress.level": "FOUR", "maxRecordsPerFile": 1_000_000}
 
 
 def _replaced(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
@@ -94,11 +97,13 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
             remove(spark, f"{path}/{old}")
 
 
-def replace_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
+def replace_csv(
+    df: DataFrame, path: str, *, single_file: bool = False, packed: bool = False
+) -> None:
     """CSV with a header; quotes inside values are doubled, blanks are kept.
 
     ``single_file`` is meant for reports of a few rows per dataset; anything
-    larger stays one file per task.
+    larger stays one file per task. ``packed`` compresses the files.
     """
     if single_file:
         df = df.coalesce(1)
@@ -110,4 +115,6 @@ def replace_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
+    if packed:
+        writer = writer.options(**PACKED_TEXT)
     _replaced(df.sparkSession, path, writer.csv)

@@ -1,6 +1,8 @@
 """Files read in ranges by many tasks."""
 
+import bz2
 import csv
+import gzip
 import io
 import json
 import random
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from oreflow.model import text_schema
 from oreflow.sources import readers
-from oreflow.sources.ranges import backslashes_before, files_below, ranges_of, records_of
+from oreflow.sources.ranges import backslashes_before, csv_headers, files_below, ranges_of, records_of
 from workload import catalog
 
 TEXT = text_schema("id", "note")
@@ -69,6 +71,23 @@ def test_csv_columns_follow_each_header(spark, tmp_path):
     assert sorted(r[0].rsplit("/", 1)[1] for r in found.select(readers.READ_FROM).collect()) == ["a.csv", "b.csv", "c.csv"]
 
 
+@pytest.mark.parametrize("ending", [".gz", ".bz2"])
+def test_headers_of_packed_files_are_read_without_a_job_each(spark, tmp_path, monkeypatch, ending):
+    packed = {".gz": gzip.compress, ".bz2": bz2.compress}[ending]
+    long = "x" * 100_000  # more than is unpacked at first
+    texts = ["id,note\n1,one\n", f'note,"{long}\n",id\r\ntwo,x,2\r\n', "id,note", ""]
+    for k, text in enumerate(texts):
+        (tmp_path / f"{k}.csv{ending}").write_bytes(packed(text.encode()))
+    found = csv_headers(spark, [f"file:{tmp_path}/{k}.csv{ending}" for k in range(4)])
+    assert [*found.values()] == [["id", "note"], ["note", f"{long}\n", "id"], ["id", "note"], []]
+    (tmp_path / f"3.csv{ending}").unlink()
+    (tmp_path / f"1.csv{ending}").write_bytes(packed(b"note,extra,id\ntwo,x,2\n"))
+    asked = []
+    monkeypatch.setattr(readers, "csv_headers", lambda spark, files: asked.extend(files) or csv_headers(spark, files))
+    assert rows(readers.read_csv(spark, str(tmp_path), TEXT)) == [("1", "one"), ("2", "two")]
+    assert len(asked) == 3
+
+
 @pytest.mark.parametrize("size", [9, 64, 5000])
 def test_csv_line_breaks_in_ranges(spark, tmp_path, size):
     rng = random.Random(size)

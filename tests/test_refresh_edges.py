@@ -1,6 +1,7 @@
 """Refreshes over sources without valid rows, repeated refreshes, the program, scratch data."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from oreflow.operators import quality, reports
 from oreflow.plans import refresh as steps
 from oreflow.plans.refresh import refresh
 from oreflow.registry import DATASETS, SOURCES
-from oreflow.session import shared_folder
+from oreflow.session import refresh_settings, shared_folder, staged
 from oreflow.sources import outputs, writers
 
 TS = "2024-05-01 12:00:00"
@@ -154,3 +155,51 @@ def test_a_refresh_sorts_no_wide_rows_before_it_writes_them(spark, tmp_path, mon
     assert after == "0" and len(found) == len(DATASETS) and min(found) >= 3
     (rejects,) = [plan for name, plan in plans.items() if "rejects" in name]
     assert "REBALANCE" in rejects and "RoundRobin" not in rejects
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, at = spark.conf.get(setting), shuffle_files(spark)
+    held = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    with refresh_settings(spark):
+        with refresh_settings(spark):
+            assert sorted(tuple(r) for r in staged(held, "held").collect())[0] == (0, 15)
+        assert spark.conf.get(setting) == "true"
+        path = str(tmp_path / "raw")
+        write_raw(spark, path)
+    refresh(spark, path, str(tmp_path / "out"))
+    assert spark.conf.get(setting) == before
+    for _ in range(100):  # they go in the background
+        left = shuffle_files(spark) - at
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_many_rejects_are_not_shuffled_to_be_written(spark, tmp_path, monkeypatch):
+    plans, store = {}, steps.replace_parquet
+
+    def stored(df, path):
+        plans[os.path.basename(path)] = df._jdf.queryExecution().executedPlan().toString()
+        store(df, path)
+
+    monkeypatch.setattr(steps, "replace_parquet", stored)
+    monkeypatch.setattr(steps, "FEW_REJECTS", 2)
+    accounts = [(f"A{k}", "C1", "P1", "active", "2021-01-01", "5.25", "USD") for k in range(3)]
+    products = [("P1", None, "loan", "lending"), ("P1", "loan", "loan", "lending")]  # three hits: too many as well
+    customers = [("", "A", "B", "ON", "retail", "low", "2020-01-02", "True")]
+    for name, changed, parts in (("many", {}, 0), ("both", {"customers": customers}, 1)):
+        raw, out = str(tmp_path / name / "raw"), str(tmp_path / name / "out")
+        write_raw(spark, raw, accounts=accounts, products=products, **changed)
+        refresh(spark, raw, out)
+        (plan,) = [plan for table, plan in plans.items() if "rejects" in table]
+        assert plan.count("REBALANCE") == parts
+        rejects = outputs.load_output(spark, out, "silver_data_quality_rejects")
+        found = sorted((r.dataset_name, r["count"]) for r in rejects.groupBy("dataset_name").count().collect())
+        assert found == [("accounts", 3), *([("customers", 1)] if changed else []), ("products", 3)]

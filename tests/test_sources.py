@@ -139,6 +139,21 @@ def test_csv_report_round_trip(spark, tmp_path):
     assert sorted(rows(back), key=str) == sorted(rows(df), key=str)
 
 
+def test_raw_files_of_a_refresh_are_packed(spark, tmp_path, monkeypatch):
+    from workload import catalog
+
+    lines = [StructField(name, StringType()) for name in ("id", "note")]
+    made = spark.createDataFrame([("1", 'a, "b"'), (None, " c ")], StructType(lines)).repartition(2)
+    monkeypatch.setattr(catalog, "raw", lambda spark, folder, name: made)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: str(tmp_path / label))
+    landing = catalog.write_raw_files(spark, "")
+    for name, spec in SOURCES.items():
+        files = [f for f in (tmp_path / "raw" / spec.file_name).iterdir() if f.name.startswith("part-")]
+        assert files and (spec.file_format == "json" or all(f.name.endswith(".gz") for f in files))
+        own = SourceSpec(name, spec.file_name, spec.file_format, "s", StructType(lines))
+        assert sorted(rows(readers.read_raw(spark, own, landing)), key=str) == sorted(rows(made), key=str)
+
+
 def test_load_output(spark, tmp_path):
     root = str(tmp_path)
     writers.replace_parquet(spark.range(4), outputs.output_path(root, "gold_customer_360"))

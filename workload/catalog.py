@@ -136,8 +136,8 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: round_half_away(F.col(c), n) for c, n in digits.items()})
 
 
-def write_lines(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+def write_lines(df: DataFrame, path: str, **options: object) -> None:
+    df.select(F.to_json(F.struct("*")).alias("value")).write.options(**options).text(path)
 
 
 def write_arrays(df: DataFrame, path: str, rows_per_file: int = 500) -> None:
@@ -152,7 +152,7 @@ def write_arrays(df: DataFrame, path: str, rows_per_file: int = 500) -> None:
 
 
 def write_raw_files(spark: SparkSession, folder: str) -> str:
-    """The raw roles as files in the formats the registry expects."""
+    """The raw roles as files in the formats the registry expects, packed but for the small arrays."""
     landing = scratch_path(spark, "raw")
 
     def write(name: str) -> None:
@@ -160,13 +160,13 @@ def write_raw_files(spark: SparkSession, folder: str) -> str:
         path = f"{landing}/{spec.file_name}"
         frame = raw(spark, folder, name)
         if spec.file_format == "csv":
-            writers.replace_csv(frame, path)
+            writers.replace_csv(frame, path, packed=True)
         elif spec.file_format == "json":
             write_arrays(frame, path)
         else:
-            write_lines(frame, path)
+            write_lines(frame, path, **writers.PACKED_TEXT)
 
-    with ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
+    with refresh_settings(spark), ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), SOURCES))
     return landing
 
