@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 
 from oreflow.functions import is_blank, quoted
 from oreflow.model import CRITICAL, DatasetSpec
-from oreflow.operators.uniqueness import mark_repeated
+from oreflow.operators.uniqueness import PLACE, mark_repeated
 
 RULE_HITS = "_rule_hits"  # names of the violated rules, joined by a comma
 ROW_VALID = "_row_valid"  # true, false, or null where no rule could decide
@@ -83,9 +83,9 @@ def flag_rules(
     yet is not valid either and leaves silver without a reject record.
     ``strict_nulls`` counts an undecided rule as broken instead; ``stripped``
     says that text is free of outer whitespace already, as after
-    standardisation.
+    standardisation. A place from `with_place` helps to compare keys and is taken off.
     """
-    names = df.columns
+    names = [name for name in df.columns if name != PLACE]
     text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
     masks: list[tuple[str, Column]] = [
         (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from oreflow.model import DatasetSpec, SourceSpec
 from oreflow.operators import bronze, checks, features, gold, quality, standardize, triage
+from oreflow.operators.uniqueness import with_place
 from oreflow.registry import DATASETS, SOURCES
 from oreflow.session import refresh_settings, scratch_scope
 from oreflow.sources.outputs import (
@@ -166,7 +167,7 @@ def refresh_silver(
     def check(spec: DatasetSpec) -> dict:
         stored = load_output(spark, out, spec.bronze_table)
         layouts = standardize.date_layouts(stored) if date_layouts else None
-        rows = standardize.standardize(stored, run_ts, layouts)
+        rows = standardize.standardize(with_place(stored), run_ts, layouts)
         path = output_path(out, spec.silver_table)
         flagged = quality.flag_rules(rows, spec, strict_nulls=strict_nulls, stripped=True)
         write_checked(flagged, path)

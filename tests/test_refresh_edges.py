@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from oreflow.functions import stable_avg, stable_sum, strip, to_ntz
 from oreflow.functions.text import WHITESPACE
 from oreflow.main import main
-from oreflow.operators import quality, reports
+from oreflow.operators import quality, reports, uniqueness
 from oreflow.plans import refresh as steps
 from oreflow.plans.refresh import refresh
 from oreflow.registry import DATASETS, SOURCES
@@ -203,3 +203,24 @@ def test_many_rejects_are_not_shuffled_to_be_written(spark, tmp_path, monkeypatc
         rejects = outputs.load_output(spark, out, "silver_data_quality_rejects")
         found = sorted((r.dataset_name, r["count"]) for r in rejects.groupBy("dataset_name").count().collect())
         assert found == [("accounts", 3), *([("customers", 1)] if changed else []), ("products", 3)]
+
+
+def test_a_refresh_with_very_many_repeated_keys_shuffles_no_wide_rows(spark, tmp_path, monkeypatch):
+    check, plans = steps.write_checked, {}
+
+    def checked(flagged, path):
+        plans[os.path.basename(path)] = flagged._jdf.queryExecution().executedPlan().toString()
+        check(flagged, path)
+
+    monkeypatch.setattr(steps, "write_checked", checked)
+    monkeypatch.setitem(uniqueness.mark_repeated.__kwdefaults__, "broadcast_bytes", 0)
+    first, raw, out = ROWS["transactions"][0], str(tmp_path / "raw"), str(tmp_path / "out")
+    ids = ["T1", " T1", "T2", "T3", "T3 ", "T3"]
+    write_raw(spark, raw, transactions=[(i, *first[1:]) for i in ids])
+    refresh(spark, raw, out)
+    assert "hashpartitioning" not in plans["silver_transactions.parquet"]
+    silver = outputs.load_output(spark, out, "silver_transactions")
+    assert [r.transaction_id for r in silver.collect()] == ["T2"] and "_row_place" not in silver.columns
+    rejects = outputs.load_output(spark, out, "silver_data_quality_rejects").filter("dataset_name = 'transactions'")
+    assert [r.rule_name for r in rejects.collect()] == ["transaction_id_must_be_unique"] * 5
+    assert rejects.filter("record_payload_json LIKE '%_row_place%'").count() == 0

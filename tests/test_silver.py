@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from oreflow.model import HIGH, DatasetSpec, Rule
 from oreflow.operators import bronze, quality, standardize
 from oreflow.operators.masks import not_equal
-from oreflow.operators.uniqueness import mark_repeated
+from oreflow.operators.uniqueness import BROADCAST_BYTES, mark_repeated, with_place
 from oreflow.registry import DATASETS, SOURCES
 
 TS = "2024-05-01 12:00:00"
@@ -91,6 +91,40 @@ def test_repeated_keys_match_brute_force(spark, limit, hot, kind):
     assert sorted((r.i, r.again) for r in marked.collect()) == brute_force(rows)
 
 
+# (hot_keys, marks_bytes): no heavy key but null, few heavy keys, all heavy, marks too large.
+@pytest.mark.parametrize(("hot", "most"), [(1, 1 << 20), (4, 1 << 20), (10_000, 1 << 20), (4, 0)])
+def test_repeated_rows_of_stored_files_match_brute_force(spark, tmp_path, hot, most):
+    """By their places in files of several blocks, read by several tasks; wide rows stay where they are."""
+    number = F.col("id")
+    key = F.when(number % 97 == 0, None).when(number % 5 == 0, "heavy").otherwise((F.abs(F.hash(number)) % 90_000).cast("string"))
+    df = spark.range(80_000, numPartitions=2).select("id", key.alias("file"))
+    df.write.option("parquet.block.size", 100_000).parquet(f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        stored = with_place(spark.read.parquet(f"{tmp_path}/t"))
+        assert stored.rdd.getNumPartitions() > 2
+        marked = mark_repeated(stored, "file", "again", broadcast_bytes=0, hot_keys=hot, marks_bytes=most)
+        found = marked.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert marked.columns == ["id", "file", "again"]
+    assert sorted((r.id, r.again) for r in found) == brute_force([(r.id, r.file) for r in found])
+    assert len(found) == 80_000
+    assert ("hashpartitioning" in marked._jdf.queryExecution().executedPlan().toString()) == (most == 0)
+
+
+@pytest.mark.parametrize("keys", [["a", "a"], ["a", "b", None], []])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_places_are_taken_off(spark, tmp_path, keys, limit):
+    rows = list(enumerate(keys))
+    spark.createDataFrame(rows, "i int, k string").write.parquet(f"{tmp_path}/t")
+    stored = with_place(spark.read.schema("i int, k string").parquet(f"{tmp_path}/t"))
+    marked = mark_repeated(stored, "k", "again", broadcast_bytes=limit)
+    assert marked.columns == ["i", "k", "again"]
+    assert sorted((r.i, r.again) for r in marked.collect()) == brute_force(rows)
+
+
 @pytest.mark.parametrize("keys", [["a", "b", None], ["a", "a"], [None, None], []])
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_repeated_keys_small_cases(spark, keys, limit):
@@ -236,6 +270,24 @@ def test_wide_rows_are_neither_routed_nor_sorted_without_heavy_keys(spark):
     assert {(r.id, r.again) for r in marked.collect()} == {(i, i % 300 < 100) for i in range(400)}
 
 
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_code_by_places_is_small_enough_to_be_compiled(spark, capsys, tmp_path, limit):
+    names = SOURCES["transactions"].schema.names
+    rows = spark.range(9).select(*[(F.col("id") % 5).cast("string").alias(n) for n in names])
+    loaded = bronze.to_bronze(rows, load_id="a", ingested_at="b", source_system="c", source_file="d")
+    loaded.write.parquet(f"{tmp_path}/bronze")
+    loaded = with_place(spark.read.parquet(f"{tmp_path}/bronze"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cleaned = standardize.standardize(loaded, TS)
+        quality.flag_rules(cleaned, DATASETS["transactions"], stripped=True, broadcast_bytes=limit).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
 def test_code_of_a_dataset_is_small_enough_to_be_compiled(spark, capsys, tmp_path):
     """The JVM compiles no method of over 8,000 bytes."""
     names = SOURCES["transactions"].schema.names
