@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oreflow.model import DatasetSpec
 from oreflow.operators.quality import flag_rules
 from oreflow.operators.standardize import standardize
+from oreflow.operators.uniqueness import with_place
 from oreflow.session import refresh_settings, staged
 from oreflow.sources.writers import COMPRESSION
 
@@ -61,4 +62,4 @@ def replay(
         again = again.join(silver.select(spec.unique_key), spec.unique_key, "left_anti").select(again.columns)
     with refresh_settings(rejects.sparkSession):
         stored = staged(again, "replayed", compression=COMPRESSION)
-        return flag_rules(stored, spec, strict_nulls=strict_nulls, stripped=True)
+        return flag_rules(with_place(stored), spec, strict_nulls=strict_nulls, stripped=True)
