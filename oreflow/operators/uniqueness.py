@@ -116,7 +116,10 @@ def mark_repeated(
 
 
 def with_place(stored: DataFrame) -> DataFrame:
-    """Rows of Parquet files with the file and the row number they stand at, for `mark_repeated`."""
+    """Rows of Parquet files with the file, by 64 bits of hash, and the row number they stand at, for `mark_repeated`.
+
+    Two files are taken for one by chance only: of n files, n * n / 2**65 pairs are expected to.
+    """
     file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
     return stored.select("*", F.struct(file.alias("file"), row.alias("row")).alias(PLACE))
 
