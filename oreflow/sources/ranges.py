@@ -109,7 +109,8 @@ def _dealt(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     frame = spark.createDataFrame(rows, schema)
     size = sum(row[2] - row[1] for row in rows)
     tasks = max(size // RANGE_BYTES + 1, spark.sparkContext.defaultParallelism)
-    return frame.repartition(min(len(rows), tasks), "file", "start") if rows else frame
+    # In order: by hash, some tasks would get several ranges and others none.
+    return frame.repartitionByRange(min(len(rows), tasks), "file", "start") if rows else frame
 
 
 def _with_states(ranges: DataFrame, states: dict[tuple[str, int], tuple], schema: str) -> DataFrame:

@@ -140,6 +140,12 @@ def test_files_and_ranges(spark, tmp_path):
     assert files_below(spark, str(tmp_path / "nothing")) == []
 
 
+def test_ranges_are_dealt_evenly_whatever_the_name(spark):
+    for name in "abcde":
+        dealt = ranges_of(spark, [(name, 40)], 10).select(F.spark_partition_id().alias("p"))
+        assert dealt.distinct().count() == 4
+
+
 def test_many_small_ranges_share_tasks(spark):
     dealt = ranges_of(spark, [("a", 4000)], 2)
     assert dealt.count() == 2000 and dealt.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
